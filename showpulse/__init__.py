@@ -1 +1,8 @@
 """View-event analytics on Spark: batch tables and live streams share one set of operators."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel with their tasks, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

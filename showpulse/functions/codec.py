@@ -1,5 +1,7 @@
 """JSON messages to event rows and back."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,12 +53,15 @@ def decode_events(df: DataFrame, value: str = "value", zone: str = WIRE_ZONE) ->
     return parsed.where(~F.col("bad")).drop("bad", value), parsed.where("bad").select(*df.columns)
 
 
-def encode_events(df: DataFrame, zone: str = WIRE_ZONE) -> DataFrame:
-    """One JSON message per event in the column `value`; times lose their sub-second part."""
+def encode_events(df: DataFrame, zone: str = WIRE_ZONE, keep: Sequence[str] = ()) -> DataFrame:
+    """One JSON message per event in the column `value`, next to the columns in `keep`.
+
+    Times lose their sub-second part.
+    """
     sent = [
         F.col(column).cast("timestamp" if name == "timestamp" else df.schema[column].dataType).alias(name)
         for name, column in WIRE_NAMES.items()
         if name not in NEVER_SENT
     ]
     options = {"timestampFormat": WIRE_TIME_FORMAT, "timeZone": zone, "ignoreNullFields": "false"}
-    return df.select(F.to_json(F.struct(*sent), options).alias("value"))
+    return df.select(F.to_json(F.struct(*sent), options).alias("value"), *keep)

@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from showpulse.functions import codec, keytext
 from showpulse.operators import counts, dedup, totals, views, windows
 from showpulse.operators.latest import latest
+from showpulse.plans.jobs import batch_job, streaming_job
+from showpulse.sources.files import file_events, stored_views
+from showpulse.sources.shared import shared_folder
+from showpulse.streaming import native, sinks, stateful
 
 HOUR = "1 hour"
 
@@ -22,8 +26,12 @@ def sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def watch_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table in the shape of decoded messages; its times are read as UTC."""
-    return events(spark, sf_dir).select(
+    return as_watch_events(events(spark, sf_dir))
+
+
+def as_watch_events(table: DataFrame) -> DataFrame:
+    """The table in the shape of decoded messages."""
+    return table.select(
         "event_id",
         F.col("user_id").cast("string").alias("user_id"),
         F.when(F.col("user_id") % 2 == 0, "Female").otherwise("Male").alias("user_gender"),
@@ -35,7 +43,6 @@ def watch_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").cast("timestamp").alias("event_time"),
         F.col("value").alias("rating"),
         (30 + F.col("event_id") % 30).cast("double").alias("episode_length"),
-        "props",
     )
 
 
@@ -139,9 +146,7 @@ def watchers_per_window(spark, sf_dir):
 # --- stored views -------------------------------------------------------------------------------------------------
 
 
-def view_rows(spark, sf_dir):
-    stored, _ = views.split_storable(watch_events(spark, sf_dir))
-    rows = views.view_rows(stored, F.col("event_time"))
+def flat_views(rows: DataFrame) -> DataFrame:
     return plain_times(
         rows.select(
             "row_key",
@@ -153,11 +158,16 @@ def view_rows(spark, sf_dir):
             F.col("userDetails.userId").alias("user_id"),
             F.col("userDetails.userGender").alias("user_gender"),
             F.col("userDetails.watchTime").alias("watch_time"),
-            "record_date",
+            F.col("record_date").cast("string").alias("record_date"),
         )
     )
 
 
+def view_rows(spark, sf_dir):
+    stored, _ = views.split_storable(watch_events(spark, sf_dir))
+    return flat_views(views.view_rows(stored, F.col("event_time")))
+
+
 def view_cells(spark, sf_dir):
     cells = views.view_cells(views.view_rows(watch_events(spark, sf_dir), F.col("event_time")))
     text = keytext.cell_text
@@ -240,14 +250,119 @@ def decode_quarantine(spark, sf_dir):
     return parts.groupBy("outcome").agg(F.count(F.lit(1)).alias("messages"))
 
 
+# --- streams ------------------------------------------------------------------------------------------------------
+#
+# The whole table is streamed once, in one trigger: its files need not be in time order. Results are written to the
+# shared folder and read back.
+
+
+def live_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    # A pattern that only the table's name matches: unlike a plain path, it may also name a single file.
+    stream = file_events(spark, f"{sf_dir}/event[s].parquet", schema, max_files=None)
+    return stream.withColumnRenamed("event_type", "show_id")
+
+
+def live_sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return live_events(spark, sf_dir).select("event_id", "user_id", "show_id", F.col("ts").cast("timestamp").alias("ts"))
+
+
+def live_watch_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_watch_events(live_events(spark, sf_dir))
+
+
+def live_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table as JSON messages, with the order of arrival."""
+    return codec.encode_events(live_watch_events(spark, sf_dir), keep=["event_id"])
+
+
+def drained(df: DataFrame, folder: str, mode: str, writer) -> None:
+    """Run a stream to the end of its input."""
+    stream = df.writeStream.outputMode(mode).trigger(availableNow=True)
+    stream.option("checkpointLocation", f"{folder}/checkpoint").foreachBatch(writer).start().awaitTermination()
+
+
+def upserts_of(spark: SparkSession, df: DataFrame, keys: list[str]) -> DataFrame:
+    """Run a stream in update mode into an upsert table, and read the table."""
+    folder = shared_folder(spark)
+    drained(df, folder, "update", lambda batch, batch_id: sinks.upsert_log(batch, batch_id, f"{folder}/table"))
+    return plain_times(sinks.upserted(spark, f"{folder}/table", keys).drop("batch_id"))
+
+
+def stream_idle_gate(spark, sf_dir):
+    folder = shared_folder(spark)
+    gate = stateful.idle_gate_stream(live_sightings(spark, sf_dir))
+    drained(gate, folder, "append", lambda batch, batch_id: sinks.write_batch(batch, batch_id, f"{folder}/table"))
+    return plain_times(spark.read.parquet(f"{folder}/table").drop("batch_id"))
+
+
+def stream_running_total_idle(spark, sf_dir):
+    totals_so_far = stateful.running_total_idle_stream(live_sightings(spark, sf_dir))
+    return upserts_of(spark, totals_so_far, ["user_id", "show_id", "visit_start"])
+
+
+def stream_total(spark, sf_dir):
+    return upserts_of(spark, native.running_total_stream(live_sightings(spark, sf_dir)), ["user_id", "show_id"])
+
+
+def stream_sliding_counts(spark, sf_dir):
+    sliding = windows.sliding_counts(live_sightings(spark, sf_dir).withWatermark("ts", "0 seconds"))
+    return upserts_of(spark, sliding, ["user_id", "show_id", "window_start"])
+
+
+def stream_first_per_batch(spark, sf_dir):
+    first = dedup.first_per_batch(live_sightings(spark, sf_dir).withWatermark("ts", "0 seconds"), batch=HOUR)
+    return upserts_of(spark, first.withColumn("hour", F.date_trunc("hour", "ts")), ["user_id", "hour"]).drop("hour")
+
+
+def stream_view_store(spark, sf_dir):
+    folder = shared_folder(spark)
+    drained(
+        live_watch_events(spark, sf_dir),
+        folder,
+        "append",
+        lambda batch, batch_id: sinks.append_views(batch, batch_id, f"{folder}/view", written_at=F.col("event_time")),
+    )
+    return flat_views(stored_views(spark, f"{folder}/view"))
+
+
+def job_tables(spark, sf_dir) -> str:
+    """Run the streaming job over the table's messages; the folder of its tables."""
+    folder = shared_folder(spark)
+    messages = live_messages(spark, sf_dir)
+    streaming_job(spark, messages, folder, f"{folder}/checkpoint", {"availableNow": True}, order="event_id")
+    return folder
+
+
+def job_totals(spark, sf_dir):
+    rows = sinks.upserted(spark, f"{job_tables(spark, sf_dir)}/total_traffic", ["user_id"], ["visit_start", "show_id"])
+    return plain_times(rows.select("user_id", "show_id", "visit_start", "total_count"))
+
+
+def job_windows(spark, sf_dir):
+    keys = ["user_id", "show_id"]
+    rows = sinks.upserted(spark, f"{job_tables(spark, sf_dir)}/window_traffic", keys, ["window_end"])
+    return plain_times(rows.select(*keys, "window_end", "total_count"))
+
+
+def job_batch_counts(spark, sf_dir):
+    """Store the views, then count them with the batch job; the text lines it writes."""
+    folder = shared_folder(spark)
+    rows = views.view_rows(watch_events(spark, sf_dir), F.col("event_time"))
+    sinks.write_batch(rows, 0, f"{folder}/view", partition_by=["record_date"])
+    batch_job(spark, f"{folder}/view", folder)
+    return spark.read.text(f"{folder}/batchResult.txt")
+
+
 # --- SQL ----------------------------------------------------------------------------------------------------------
 
 _SIGHTINGS = "s AS (SELECT event_id, user_id, event_type AS show_id, ts FROM events)"
 
-_GATE = f"""{_SIGHTINGS},
-lagged AS (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM s),
+_GATE_OF_S = """lagged AS (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM s),
 gate AS (SELECT event_id, user_id, show_id, ts FROM lagged WHERE p IS NULL OR ts - p > INTERVAL 3600 SECONDS)"""
 
+_GATE = f"{_SIGHTINGS}, {_GATE_OF_S}"
+
 
 def _idle_total(source: str) -> str:
     return f"""stepped AS (SELECT event_id, user_id, show_id, ts,
@@ -301,6 +416,17 @@ _VISITS_SQL = f"""WITH {_GATE}, numbered AS (SELECT *, sum(CASE WHEN p IS NULL O
     THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS v FROM lagged)
 SELECT min_by(event_id, (ts, event_id)) AS event_id, user_id, min_by(show_id, (ts, event_id)) AS show_id,
     min(ts) AS ts, max(ts) AS visit_end, count(*) AS visit_events FROM numbered GROUP BY user_id, v"""
+_VIEW_ROWS_SQL = f"""WITH {_WATCH} SELECT {_KEY_TEXT} AS row_key, season, episode, show_id, rating, episode_length AS time,
+    user_id, user_gender, event_time AS watch_time, strftime(event_time, '%Y-%m-%d') AS record_date FROM w"""
+_FIRST_PER_HOUR_SQL = _first_per_batch(3600)
+_COUNT_LINES_SQL = (
+    "SELECT concat('(', user_id, event_type, ',', count(*), ')') AS value FROM events GROUP BY user_id, event_type"
+)
+# The job sees times to the second, users as text, and only the views that pass the gate.
+_JOB_GATE = f"""{_WATCH}, s AS (SELECT event_id, user_id, show_id, date_trunc('second', event_time) AS ts FROM w),
+{_GATE_OF_S}"""
+_VISIT_TOTALS = """visit_totals AS (SELECT user_id, show_id, min(ts) AS visit_start, max(ts) AS visit_end,
+    count(*) AS total_count FROM idle GROUP BY user_id, show_id, v)"""
 _SLIDING_SQL = f"WITH {_SIGHTINGS}, {_windows('s')} SELECT * FROM sliding"
 
 # Each query with its SQL.
@@ -327,7 +453,7 @@ QUERIES = {
     "running_total": (running_total, f"WITH {_RUNNING} SELECT * FROM running"),
     "running_total_updates": (running_total_updates, f"WITH {_updates(3600)} SELECT * FROM updates"),
     "batch_totals_5s": (batch_totals_5s, f"WITH {_updates(5)} SELECT * FROM updates"),
-    "first_per_batch": (first_per_batch, _first_per_batch(3600)),
+    "first_per_batch": (first_per_batch, _FIRST_PER_HOUR_SQL),
     "first_per_batch_5s": (first_per_batch_5s, _first_per_batch(5)),
     "sliding_counts": (sliding_counts, _SLIDING_SQL),
     "sliding_counts_shifted": (
@@ -367,8 +493,7 @@ SELECT event_id, user_id, show_id, ts, total_count FROM newest WHERE n = 1""",
     ),
     "view_rows": (
         view_rows,
-        f"""WITH {_WATCH} SELECT {_KEY_TEXT} AS row_key, season, episode, show_id, rating, episode_length AS time, user_id,
-    user_gender, event_time AS watch_time, strftime(event_time, '%Y-%m-%d') AS record_date FROM w""",
+        _VIEW_ROWS_SQL,
     ),
     "view_cells": (
         view_cells,
@@ -397,7 +522,7 @@ FROM events GROUP BY user_id, event_type""",
     ),
     "view_count_lines": (
         view_count_lines,
-        "SELECT concat('(', user_id, event_type, ',', count(*), ')') AS value FROM events GROUP BY user_id, event_type",
+        _COUNT_LINES_SQL,
     ),
     "group_count": (
         group_count,
@@ -428,4 +553,29 @@ FROM events GROUP BY user_id, event_type""",
         """SELECT CASE WHEN event_id % 7 = 0 THEN 'bad' ELSE 'good' END AS outcome, count(*) AS messages
 FROM events GROUP BY ALL""",
     ),
+    "stream_idle_gate": (stream_idle_gate, _GATE_SQL),
+    "stream_running_total_idle": (
+        stream_running_total_idle,
+        f"WITH {_SIGHTINGS}, {_idle_total('s')}, {_VISIT_TOTALS} SELECT * FROM visit_totals",
+    ),
+    "stream_total": (
+        stream_total,
+        "SELECT user_id, event_type AS show_id, count(*) AS total_count FROM events GROUP BY ALL",
+    ),
+    "stream_sliding_counts": (stream_sliding_counts, _SLIDING_SQL),
+    "stream_first_per_batch": (stream_first_per_batch, _FIRST_PER_HOUR_SQL),
+    "stream_view_store": (stream_view_store, _VIEW_ROWS_SQL),
+    "job_totals": (
+        job_totals,
+        f"""WITH {_JOB_GATE}, {_idle_total("gate")}, {_VISIT_TOTALS}, newest AS (SELECT *, row_number() OVER (
+    PARTITION BY user_id ORDER BY visit_start DESC, show_id DESC) AS n FROM visit_totals)
+SELECT user_id, show_id, visit_start, total_count FROM newest WHERE n = 1""",
+    ),
+    "job_windows": (
+        job_windows,
+        f"""WITH {_JOB_GATE}, {_windows("gate")}, newest AS (SELECT *, row_number() OVER (
+    PARTITION BY user_id, show_id ORDER BY window_end DESC) AS n FROM sliding)
+SELECT user_id, show_id, window_end, total_count FROM newest WHERE n = 1""",
+    ),
+    "job_batch_counts": (job_batch_counts, _COUNT_LINES_SQL),
 }
