@@ -38,6 +38,8 @@ def streaming_job(
     """
     trigger = trigger or EVERY_5_SECONDS
     ends = trigger.get("availableNow") or trigger.get("once")
+    if ends and clock == "processing":
+        raise ValueError("timeouts by the wall clock keep a stream running; use the event clock with this trigger")
 
     def start(df: DataFrame, name: str, writer) -> StreamingQuery:
         stream = df.writeStream.outputMode("update").trigger(**trigger)

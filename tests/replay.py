@@ -1,5 +1,7 @@
 """Small event tables, and streams that deliver them file by file."""
 
+import os
+import time
 from datetime import datetime, timedelta, timezone
 
 START = datetime(2024, 1, 1)
@@ -28,8 +30,6 @@ class Replay:
 
     def add(self, rows):
         # One file per call; the stream takes files by age, so each must be visibly younger than the last.
-        import os
-
         self.files += 1
         target = self.folder / "in"
         staging = self.folder / f"staged{self.files}"
@@ -42,13 +42,25 @@ class Replay:
     def stream(self):
         return self.spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(self.folder / "in"))
 
-    def run(self, df, mode, name="out"):
-        """Run to the end of the input; returns the rows of every batch, in order."""
+    def run(self, df, mode, name="out", ends=True):
+        """Run to the end of the input; returns the rows of every batch, in order.
+
+        A stream with processing-time timeouts has no end of its own, as it always waits for the next timeout.
+        """
         batches = []
 
         def keep(batch, batch_id):
             batches.append(batch.collect())
 
-        writer = df.writeStream.outputMode(mode).trigger(availableNow=True)
-        writer.option("checkpointLocation", str(self.folder / f"checkpoint-{name}")).foreachBatch(keep).start().awaitTermination()
+        trigger = {"availableNow": True} if ends else {"processingTime": "1 second"}
+        writer = df.writeStream.outputMode(mode).trigger(**trigger)
+        query = writer.option("checkpointLocation", str(self.folder / f"checkpoint-{name}")).foreachBatch(keep).start()
+        if ends:
+            query.awaitTermination()
+        else:
+            deadline = time.monotonic() + 60
+            while len(batches) < self.files + 1 and query.isActive and time.monotonic() < deadline:
+                time.sleep(0.2)
+            query.stop()
+            assert query.exception() is None and len(batches) > self.files
         return batches
