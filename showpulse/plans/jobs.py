@@ -71,7 +71,7 @@ def streaming_job(
     else:
         counted = events
 
-    totals = running_total_idle_stream(counted, KEYS, ts, order, gap, clock, lateness)
+    totals = running_total_idle_stream(counted, KEYS, ts, gap, clock, lateness)
     windows = sliding_counts(counted.withWatermark(ts, lateness), KEYS, ts)
     queries.append(start(totals, "total_traffic", _upsert(f"{out}/total_traffic", ["visit_start", "visit_end"])))
     queries.append(start(windows, "window_traffic", _upsert(f"{out}/window_traffic", ["window_start", "window_end"])))

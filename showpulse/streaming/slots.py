@@ -16,15 +16,16 @@ from pyspark.sql import types as T
 from showpulse.functions.durations import micros
 
 
-def slot_rows(df: DataFrame, keys: list[str], ts: str, order: list[str], gap: str, row: list[str]) -> DataFrame:
-    """`_key` columns, `_order` and `_row` of the first event of the slot, `_first`, `_last` (microseconds), `_events`.
+def slot_rows(df: DataFrame, keys: list[str], ts: str, gap: str, order: list[str] | None = None) -> DataFrame:
+    """Keys, the times of the first and last event of the slot in microseconds (`_first`, `_last`), and `_events`.
+
+    With `order`, which ranks events of one time, the whole first event is given as `_row`.
 
     Events without a time belong to no visit and are left out, as time windows leave them out.
     """
     packed = df.where(F.col(ts).isNotNull()).select(
-        F.struct(*keys).alias("_key"),
-        F.struct(*order).alias("_order"),
-        F.struct(*row).alias("_row"),
+        *keys,
+        *([F.struct(*df.columns).alias("_row")] if order else []),
         F.unix_micros(F.col(ts).cast("timestamp")).alias("_first"),
     )
     schema = T.StructType(
@@ -34,9 +35,9 @@ def slot_rows(df: DataFrame, keys: list[str], ts: str, order: list[str], gap: st
 
     def shrink(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield from _shrink(batch, keys, order, width).to_batches()
+            yield from _shrink(batch, keys, order or [], width).to_batches()
 
-    return packed.mapInArrow(shrink, schema).select("_key.*", "_order", "_row", "_first", "_last", "_events")
+    return packed.mapInArrow(shrink, schema)
 
 
 def _shrink(batch: pa.RecordBatch, keys: list[str], order: list[str], width: int) -> pa.Table:
@@ -44,8 +45,8 @@ def _shrink(batch: pa.RecordBatch, keys: list[str], order: list[str], width: int
     flat = pa.table(
         {
             "first": table["_first"],
-            **{f"key{i}": _field(table, "_key", name) for i, name in enumerate(keys)},
-            **{f"order{i}": _field(table, "_order", name) for i, name in enumerate(order)},
+            **{f"key{i}": table[name] for i, name in enumerate(keys)},
+            **{f"order{i}": pc.struct_field(table["_row"], name) for i, name in enumerate(order)},
         }
     )
     by_time = [("first", "ascending"), *((f"order{i}", "ascending") for i in range(len(order)))]
@@ -58,7 +59,3 @@ def _shrink(batch: pa.RecordBatch, keys: list[str], order: list[str], width: int
     )
     first_rows = table.take(at.take(groups["n_min"]))
     return first_rows.append_column("_last", groups["first_max"]).append_column("_events", groups["n_count"])
-
-
-def _field(table: pa.Table, column: str, name: str) -> pa.ChunkedArray:
-    return pc.struct_field(table[column], name)

@@ -47,18 +47,19 @@ def idle_gate_stream(
     lateness: str = "0 seconds",
 ) -> DataFrame:
     """Events of users not seen for longer than `gap`, as a stream in append mode."""
-    slots = slot_rows(df, [user], ts, names(order), gap, df.columns)
+    order = names(order)
+    slots = slot_rows(df, [user], ts, gap, order).drop("_events")
     width = micros(gap)
 
     def gate(_: tuple, frames: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        seen = [slot for frame in frames for slot in zip(frame["_first"], frame["_order"], frame["_last"], frame["_row"])]
-        seen.sort(key=lambda slot: (slot[0], *slot[1].values()))
+        seen = [slot for frame in frames for slot in zip(frame["_first"], frame["_last"], frame["_row"])]
+        seen.sort(key=lambda slot: (slot[0], *(slot[2][name] for name in order)))
         last = state.get[0] if state.exists else None
         passed = []
-        for first, _order, slot_last, row in seen:
+        for first, slot_last, row in seen:
             if last is None or first - last > width:
                 passed.append(row)
             last = slot_last if last is None else max(last, slot_last)
@@ -76,7 +77,6 @@ def running_total_idle_stream(
     df: DataFrame,
     keys: str | list[str] = KEYS,
     ts: str = "ts",
-    order: str | list[str] = "event_id",
     gap: str = "3600 seconds",
     clock: str = "event",
     lateness: str = "0 seconds",
@@ -87,7 +87,7 @@ def running_total_idle_stream(
     and `total_count`. The last row for a key and visit start does not depend on how the stream was cut into batches.
     """
     keys = names(keys)
-    slots = slot_rows(df, keys, ts, names(order), gap, names(order))
+    slots = slot_rows(df.select(*keys, ts), keys, ts, gap)
     width = micros(gap)
     key_fields = [df.schema[key] for key in keys]
 
@@ -108,10 +108,7 @@ def running_total_idle_stream(
                     touched.append(visit)
         state.update(tuple(int(value) for value in visit))
         _forget_when_idle(state, int(visit[1]), width, clock)
-        totals = pd.DataFrame(touched, columns=["_start", "_end", "total_count"])
-        for name, value in zip(keys, key):
-            totals[name] = pd.Series([value] * len(totals), dtype=object)
-        yield totals[[*keys, "_start", "_end", "total_count"]]
+        yield pd.DataFrame([(*key, *visit) for visit in touched], columns=out.names)
 
     out = T.StructType([*key_fields, *(T.StructField(name, T.LongType()) for name in ("_start", "_end", "total_count"))])
     grouped = _with_clock(slots, clock, lateness).groupBy(*keys)
