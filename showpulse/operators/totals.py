@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from showpulse.operators.blocks import ROWS_PER_BLOCK, split_groups
 from showpulse.operators.columns import attach, names
+from showpulse.operators.latest import latest
 from showpulse.operators.visits import ordered_visits
 
 KEYS = ("user_id", "show_id")
@@ -59,3 +60,19 @@ def running_total_updates(
         "batch_count",
         F.sum("batch_count").over(so_far).alias("total_count"),
     )
+
+
+def newest_totals(
+    df: DataFrame,
+    keys: str | list[str] = KEYS,
+    by: str | list[str] = KEYS,
+    ts: str = "ts",
+    order: str | list[str] = "event_id",
+) -> DataFrame:
+    """The last row of `running_total` for each value of `by` (some or all of the keys), without numbering every event.
+
+    A total of all events of a key is the running total at the key's last event.
+    """
+    keys, at = names(keys), [ts, *names(order)]
+    ends = df.groupBy(*keys).agg(F.max(F.struct(*at)).alias("_at"), F.count(F.lit(1)).alias("total_count"))
+    return latest(ends, by, "_at").select(*keys, "_at.*", "total_count")

@@ -103,11 +103,11 @@ def batch_totals_5s(spark, sf_dir):
 
 
 def total_latest_by_user(spark, sf_dir):
-    return latest(totals.running_total(sightings(spark, sf_dir)), "user_id", ["ts", "event_id"])
+    return totals.newest_totals(sightings(spark, sf_dir), by="user_id")
 
 
 def total_latest_by_user_show(spark, sf_dir):
-    return latest(totals.running_total(sightings(spark, sf_dir)), ["user_id", "show_id"], ["ts", "event_id"])
+    return totals.newest_totals(sightings(spark, sf_dir))
 
 
 def total_rows(spark, sf_dir):

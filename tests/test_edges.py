@@ -68,6 +68,15 @@ def test_two_shows_one_user(spark):
     assert latest(df, ["user_id", "show_id"], ["ts", "event_id"]).count() == 2
 
 
+def test_newest_totals_are_the_last_running_totals(spark):
+    rows = [(i, f"u{i % 3}", f"s{i % 2}", (i * 37) % 50) for i in range(60)]
+    df = table(spark, rows)
+    for by in ("user_id", ["user_id", "show_id"]):
+        expected = latest(totals.running_total(df), by, ["ts", "event_id"])
+        got = totals.newest_totals(df, by=by).select(*expected.columns)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+
+
 def test_first_per_batch_takes_the_earliest(spark):
     df = table(spark, [(5, "u", "a", 1.5), (4, "u", "b", 1.5), (1, "u", "c", 4.9), (2, "u", "d", 5.0)])
     assert ids(dedup.first_per_batch(df)) == [2, 4]

@@ -1,6 +1,7 @@
 """The whole streaming job and batch job, over messages that arrive in several files."""
 
 import json
+import time
 from collections import Counter
 
 import pytest
@@ -88,3 +89,27 @@ def test_wall_clock_needs_an_endless_trigger(spark, tmp_path):
     inbox.send(FIRST)
     with pytest.raises(ValueError):
         inbox.run(clock="processing")
+
+
+def test_job_that_keeps_running(spark, tmp_path):
+    """All four queries start together, before the gate has written anything."""
+    inbox = Inbox(spark, tmp_path)
+    inbox.send(FIRST)
+    messages = spark.readStream.schema("value string, n long").json(str(tmp_path / "in"))
+    out = tmp_path / "out"
+    queries = streaming_job(
+        spark, messages, str(out), str(tmp_path / "checkpoint"), {"processingTime": "1 second"}, order="n"
+    )
+    try:
+        deadline = time.monotonic() + 90
+        done = [out / "total_traffic" / "log", out / "window_traffic" / "log"]
+        while time.monotonic() < deadline and all(q.isActive for q in queries):
+            if all(list(log.glob("*/_SUCCESS")) for log in done):
+                break
+            time.sleep(0.5)
+    finally:
+        for query in queries:
+            query.stop()
+    assert all(query.exception() is None for query in queries)
+    totals = inbox.upserts("total_traffic", ["user_id", "show_id"]).collect()
+    assert {(r.user_id, r.show_id, r.total_count) for r in totals} == {("u", "a", 1), ("v", "a", 1)}
