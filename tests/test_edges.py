@@ -10,6 +10,8 @@ from replay import at, seconds, table
 from showpulse.functions import codec, keytext
 from showpulse.operators import counts, dedup, totals, views, windows
 from showpulse.operators.latest import latest
+from showpulse.sources import files
+from showpulse.sources.shared import shared_folder
 from showpulse.streaming import sinks
 
 
@@ -245,3 +247,32 @@ def test_stored_count_rows(spark):
     rows = views.traffic_rows(df, F.col("batch_start")).orderBy("time_stamp").collect()
     assert [(r.total_count, r.record_date) for r in rows] == [(1, "2024-01-01"), (2, "2024-01-02")]
     assert views.traffic_rows(df).where("time_stamp IS NOT NULL").count() == 2
+
+
+# --- files --------------------------------------------------------------------------------------------------------
+
+
+def test_messages_in_files(spark, tmp_path):
+    good, _ = codec.decode_events(spark.createDataFrame([(message(),), (message(userId="v"),)], "value string"))
+    published = str(tmp_path / "messages")
+    files.publish_files(codec.encode_events(good), published)
+    stream = files.file_events(spark, published, "value string", "text")
+    again = files.publish_files(stream, str(tmp_path / "copy"), str(tmp_path / "checkpoint"))
+    again.processAllAvailable()
+    again.stop()
+    copied, bad = codec.decode_events(spark.read.text(str(tmp_path / "copy")))
+    assert bad.count() == 0
+    assert sorted(map(tuple, copied.collect())) == sorted(map(tuple, good.collect()))
+
+
+def test_shared_folder_is_below_the_checkpoint_setting(spark):
+    assert shared_folder(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert shared_folder(spark) != shared_folder(spark)
+
+
+def test_counting_reads_two_nested_columns_only(spark, tmp_path):
+    df = watched(spark, (0, "u", "Male", "1", "2", "s", at(0), 1.0, 30.0))
+    sinks.append_views(df, 0, str(tmp_path / "view"))
+    stored = files.stored_views(spark, str(tmp_path / "view"))
+    plan = counts.view_counts(views.views_to_events(stored))._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<watchedEpisode:struct<ShowId:string>,userDetails:struct<userId:string>>" in plan
