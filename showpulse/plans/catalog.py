@@ -11,7 +11,7 @@ from showpulse.operators import counts, dedup, totals, views, windows
 from showpulse.operators.latest import latest
 from showpulse.plans.jobs import batch_job, streaming_job
 from showpulse.sources.files import file_events, stored_views
-from showpulse.sources.shared import shared_folder
+from showpulse.sources.shared import settled, shared_folder
 from showpulse.streaming import native, sinks, stateful
 
 HOUR = "1 hour"
@@ -91,7 +91,7 @@ def running_total_idle(spark, sf_dir):
 
 
 def gated_running_total(spark, sf_dir):
-    return totals.running_total_idle(dedup.idle_gate(sightings(spark, sf_dir)))
+    return totals.running_total_idle(settled(dedup.idle_gate(sightings(spark, sf_dir))))
 
 
 def running_total_updates(spark, sf_dir):

@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -14,3 +14,10 @@ def shared_folder(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="showpulse-")
     return f"{root}/{uuid.uuid4()}"
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """The rows of `df` from a table written now: for results of costly steps that are read more than once."""
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
