@@ -38,7 +38,9 @@ def append_views(
 
 
 def write_batch(df: DataFrame, batch_id: int, path: str, partition_by: list[str] | None = None) -> None:
-    df.write.mode("overwrite").partitionBy(*(partition_by or [])).parquet(f"{path}/batch_id={batch_id}")
+    """Write one batch in files of even size: neither one per task and date, nor one huge file for a large date."""
+    by = partition_by or []
+    df.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(f"{path}/batch_id={batch_id}")
 
 
 def upsert_log(df: DataFrame, batch_id: int, path: str) -> None:

@@ -213,6 +213,13 @@ def test_retried_batch_replaces_itself(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "view")).count() == 2
 
 
+def test_bulk_load_writes_few_files(spark, tmp_path):
+    rows = [(i, f"u{i}", "Male", "1", "2", "s", at(86_400 * (i % 3)), 1.0, 30.0) for i in range(90)]
+    sinks.append_views(watched(spark, *rows).repartition(8), 0, str(tmp_path / "view"), written_at=F.col("event_time"))
+    assert spark.read.parquet(str(tmp_path / "view")).count() == 90
+    assert len(list((tmp_path / "view").glob("*/*/*.parquet"))) == 3
+
+
 def test_same_second(spark, tmp_path):
     df = watched(
         spark,
