@@ -158,7 +158,7 @@ def flat_views(rows: DataFrame) -> DataFrame:
             F.col("userDetails.userId").alias("user_id"),
             F.col("userDetails.userGender").alias("user_gender"),
             F.col("userDetails.watchTime").alias("watch_time"),
-            F.col("record_date").cast("string").alias("record_date"),
+            "record_date",
         )
     )
 

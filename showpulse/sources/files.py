@@ -4,9 +4,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from showpulse.functions.schema import EVENT, VIEW
+
 
 def file_events(
-    spark: SparkSession, path: str, schema: StructType | str, format: str = "parquet", max_files: int | None = 1
+    spark: SparkSession,
+    path: str,
+    schema: StructType | str = EVENT,
+    format: str = "parquet",
+    max_files: int | None = 1,
 ) -> DataFrame:
     """Files as a stream, oldest first, `max_files` per trigger; None takes all files that are there."""
     reader = spark.readStream.schema(schema).format(format)
@@ -17,7 +23,7 @@ def file_events(
 
 def stored_views(spark: SparkSession, path: str) -> DataFrame:
     """All stored views. Readers that use few columns, or few dates, load no more than those."""
-    return spark.read.parquet(path)
+    return spark.read.schema(VIEW).parquet(path)
 
 
 def publish_files(messages: DataFrame, path: str, checkpoint: str | None = None) -> StreamingQuery | None:
