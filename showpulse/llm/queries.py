@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from showpulse.llm import pieces, shards, token_counts
+from showpulse.llm import language, pieces, sampling, shards, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,13 @@ def op1_sentencepiece(spark, sf_dir):
     )
 
 
+def op2_language(spark, sf_dir):
+    held_out = sampling.remainder("doc_id", 3) == 1
+    texts = documents(spark, sf_dir).select("doc_id", "text", "lang", held_out.alias("held_out"))
+    identifier = language.fit(texts.where(~F.col("held_out")))
+    return language.identified(texts.drop("lang"), identifier).drop("text")
+
+
 def op4_shards(spark, sf_dir):
     return shards.sharded(documents(spark, sf_dir), 40)
 
@@ -39,6 +46,7 @@ def op10_token_counts(spark, sf_dir):
 # Each query with its SQL.
 QUERIES = {
     "op1_sentencepiece": (op1_sentencepiece, None),
+    "op2_language": (op2_language, None),
     "op4_shards": (op4_shards, None),
     "op10_token_counts": (op10_token_counts, None),
 }
