@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from showpulse.llm import language, pieces, sampling, shards, token_counts
+from showpulse.llm import language, nearest, pieces, quality, sampling, shards, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,10 +33,23 @@ def op2_language(spark, sf_dir):
     return language.identified(texts.drop("lang"), identifier).drop("text")
 
 
+def op3_quality(spark, sf_dir):
+    held_out = sampling.remainder("doc_id", 5) == 0
+    learned = table(spark, sf_dir, "labels").where(~held_out)
+    texts = documents(spark, sf_dir).select("doc_id", "text")
+    ranker = quality.fit(texts, learned)
+    return quality.scored(texts.withColumn("held_out", held_out), ranker).drop("text")
+
+
 def op4_shards(spark, sf_dir):
     return shards.sharded(documents(spark, sf_dir), 40)
 
 
+def op7_top_k(spark, sf_dir):
+    vectors = nearest.quantised(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return nearest.top_k(vectors, F.col("id") % 20 == 0)
+
+
 def op10_token_counts(spark, sf_dir):
     texts = documents(spark, sf_dir).select("doc_id", "text")
     counted = token_counts.token_counts(texts, public_tokenizers.path("word_bpe_49k.json"))
@@ -47,6 +60,17 @@ def op10_token_counts(spark, sf_dir):
 QUERIES = {
     "op1_sentencepiece": (op1_sentencepiece, None),
     "op2_language": (op2_language, None),
+    "op3_quality": (op3_quality, None),
     "op4_shards": (op4_shards, None),
+    "op7_top_k": (
+        op7_top_k,
+        """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[]))
+    AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+    FROM scored)
+SELECT * FROM ranked WHERE rank <= 20""",
+    ),
     "op10_token_counts": (op10_token_counts, None),
 }
