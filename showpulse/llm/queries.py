@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from showpulse.llm import language, nearest, pieces, quality, sampling, shards, token_counts
+from showpulse.llm import language, nearest, pieces, quality, sampling, setjoin, shards, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,10 @@ def op4_shards(spark, sf_dir):
     return shards.sharded(documents(spark, sf_dir), 40)
 
 
+def op5_near_copies(spark, sf_dir):
+    return setjoin.near_copies(documents(spark, sf_dir))
+
+
 def op7_top_k(spark, sf_dir):
     vectors = nearest.quantised(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
     return nearest.top_k(vectors, F.col("id") % 20 == 0)
@@ -62,6 +66,7 @@ QUERIES = {
     "op2_language": (op2_language, None),
     "op3_quality": (op3_quality, None),
     "op4_shards": (op4_shards, None),
+    "op5_near_copies": (op5_near_copies, None),
     "op7_top_k": (
         op7_top_k,
         """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
