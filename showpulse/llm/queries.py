@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from showpulse.llm import language, nearest, pieces, quality, sampling, setjoin, shards, token_counts
+from showpulse.llm import language, nearest, personal, pieces, quality, sampling, setjoin, shards, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +49,15 @@ def op5_near_copies(spark, sf_dir):
     return setjoin.near_copies(documents(spark, sf_dir))
 
 
+def op6_personal_data(spark, sf_dir):
+    texts = documents(spark, sf_dir).select("doc_id", "text")
+    found = personal.found_in(texts, personal.fit(texts))
+    base = F.filter("personal", lambda s: s["base"])
+    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in personal.KINDS]
+    digest = F.sha2(personal.listed(base), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, personal.listed(F.col("personal")).alias("spans"))
+
+
 def op7_top_k(spark, sf_dir):
     vectors = nearest.quantised(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
     return nearest.top_k(vectors, F.col("id") % 20 == 0)
@@ -67,6 +76,7 @@ QUERIES = {
     "op3_quality": (op3_quality, None),
     "op4_shards": (op4_shards, None),
     "op5_near_copies": (op5_near_copies, None),
+    "op6_personal_data": (op6_personal_data, None),
     "op7_top_k": (
         op7_top_k,
         """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v

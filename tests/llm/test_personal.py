@@ -1,0 +1,131 @@
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+
+from showpulse.llm import personal, tagger
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def plain_matches(text):
+    digits = lambda m: re.sub("[^0-9]", "", m[0])
+
+    def card(m):
+        d = [int(c) for c in digits(m)][::-1]
+        return 16 <= len(d) <= 19 and (sum(d[::2]) + sum(sum(divmod(2 * x, 10)) for x in d[1::2])) % 10 == 0
+
+    tests = (
+        (EMAIL, lambda m: True),
+        (IP, lambda m: all(int(p) <= 255 for p in m[0].split("."))),
+        (CARD, card),
+        (PHONE, lambda m: 8 <= len(digits(m)) <= 15),
+    )
+    return [(k, *m.span()) for k, (pattern, good) in enumerate(tests) for m in pattern.finditer(text) if good(m)]
+
+
+@pytest.mark.parametrize("letters", ["a@.b- ", "0125.9 ", "0123456789- +()", "a1@.-+ (5%", "é1@.a🎉"])
+def test_patterns_equal_the_regular_expressions(letters):
+    chosen = random.Random(letters)
+    for _ in range(4_000):
+        text = "".join(chosen.choices(letters, k=chosen.randrange(60)))
+        assert personal.matches(text) == plain_matches(text)
+
+
+def test_patterns_take_linear_time():
+    for text in ("a" * 300_000, "1" * 300_000, "a@" * 150_000, "1." * 150_000, "+1" * 150_000, "+1" + "(" * 300_000, "1 " * 150_000):
+        personal.matches(text)
+
+
+def test_gradients_equal_differences():
+    drawn = np.random.default_rng(4)
+    model = tagger.Tagger.new(2)
+    ids, tags = drawn.integers(0, tagger.ALPHABET, (3, 7)), np.array([[0, 1, 2, 2, 0, 3, 4], [0] * 7, [1, 1, 2, 0, 0, 3, 0]])
+    _, grads = model.gradients(ids, tags)
+    for name, x in model.weights.items():
+        for at in [tuple(drawn.integers(0, n) for n in x.shape) for _ in range(6)] + [tuple(np.argwhere(grads[name])[0])]:
+            old, step = x[at], 1e-5
+            x[at] = old + step
+            more, _ = model.gradients(ids, tags)
+            x[at] = old - step
+            less, _ = model.gradients(ids, tags)
+            x[at] = old
+            assert abs((more - less) / (2 * step) - grads[name][at]) < 1e-5
+
+
+def test_best_paths_equal_all_paths():
+    drawn = np.random.default_rng(5)
+    emitted, moves = drawn.normal(size=(4, 4, 3)), drawn.normal(size=(3, 3))
+    for row, path in zip(emitted, tagger.best_paths(emitted, moves), strict=True):
+        paths = np.array(np.meshgrid(*[range(3)] * 4)).reshape(4, -1).T
+        score = [row[range(4), p].sum() + moves[p[:-1], p[1:]].sum() for p in paths]
+        assert (paths[int(np.argmax(score))] == path).all()
+
+
+@pytest.fixture(scope="module")
+def made(spark):
+    chosen = random.Random(8)
+    word = lambda: "".join(chosen.choices("abcdefghinorst", k=chosen.randrange(2, 9)))
+    some = [
+        lambda: f"{word()}.{chosen.randrange(90)}@mail{chosen.randrange(9)}.example.com",
+        lambda: ".".join(str(chosen.randrange(256)) for _ in range(4)),
+        lambda: f"+1 ({chosen.randrange(100, 999)}) 555-{chosen.randrange(1000, 9999)}",
+        lambda: chosen.choice(["4539578763621486", "4716 5952 3015 8820", "4929-4917-0361-0213", "no 12 or 3000"]),
+    ]
+    rows = [" ".join(chosen.choice(some)() if chosen.random() < 0.1 else word() for _ in range(80)) for _ in range(600)]
+    return spark.createDataFrame(
+        [(i, t, "x", 1) for i, t in enumerate([*rows, None, "", "x" * 100_000 + " 1.2.3.4", "7" * 40_000, *rows[:3]])],
+        "doc_id long, text string, personal string, start int",
+    )
+
+
+def test_tagger_finds_held_out_spans_and_base_stays(spark, made):
+    model = personal.fit(made.where("doc_id < 300 OR text IS NULL"))
+    held = [r.text for r in made.where("doc_id BETWEEN 300 AND 599").collect()]
+    want = {(n, *s) for n, t in enumerate(held) for s in plain_matches(t) if s[0] in (0, 1, 3)}
+    got = {(n, *s) for n, spans in enumerate(personal.added(model, held)) for s in spans}
+    assert len(want & got) > 0.9 * len(want)
+    rows = personal.found_in(made, model).collect()
+    assert len(rows) == made.count()
+    for r in rows:
+        base = [(personal.KINDS.index(s.kind), s.start, s.end) for s in r.personal if s.base]
+        assert base == plain_matches(r.text or "")
+        more = [(s.start, s.end) for s in r.personal if not s.base]
+        assert not any(a < end and start < b for a, b in more for _, start, end in base)
+
+
+def test_redaction_replaces_spans_and_keeps_columns(spark, made):
+    result = personal.redacted(made.drop("personal"), None)
+    assert sorted(result.columns) == ["doc_id", "start", "text"]
+    for r in result.collect():
+        assert r.text is None or not plain_matches(r.text)
+    assert personal._without("ab 12 cd", [{"kind": "ip", "start": 3, "end": 5}, {"kind": "card", "start": 4, "end": 7}]) == "ab [IP]d"
+
+
+def test_windows_cut_and_joined_give_the_same_as_one_window():
+    model = tagger.Tagger.new(4)
+    assert personal.added(model, ["no digits", "", "x"]) == [[], [], []]
+    assert len(personal.added(model, ["1" * 5_000, "a 1", "é" * 70 + "@"])) == 3
+
+
+def test_empty_table(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert personal.fit(empty) is None
+    assert personal.found_in(empty, None).count() == 0
+
+
+def test_query_digests(spark, sf_dir):
+    import __spark_entry__ as driver
+
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    for r in driver.queries()["op6_personal_data"](spark, sf_dir).collect():
+        base = plain_matches(texts[r.doc_id])
+        text = ",".join(f"{personal.KINDS[k]}:{a}:{b}" for k, a, b in base)
+        assert r.base_sha256 == hashlib.sha256(text.encode()).hexdigest()
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(s[0] == k for s in base) for k in range(4)]
+        assert set(filter(None, text.split(","))) <= set(r.spans.split(","))
