@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from showpulse.llm import language, nearest, personal, pieces, quality, sampling, setjoin, shards, token_counts
+from showpulse.llm import domain, language, leaks, nearest, personal, pieces, quality, sampling, setjoin, shards, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +63,22 @@ def op7_top_k(spark, sf_dir):
     return nearest.top_k(vectors, F.col("id") % 20 == 0)
 
 
+TARGET_TEXTS = 5_000
+"""About so many texts labelled good are the target of the language models, drawn by a hash of the key."""
+
+
+def op8_domain_scores(spark, sf_dir):
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id", "quality").distinct()
+    target = sampling.sample_per_class(good, "doc_id", "quality", TARGET_TEXTS).select("doc_id", F.lit(True).alias("target"))
+    texts = documents(spark, sf_dir).select("doc_id", "text")
+    scorer = domain.fit(texts.join(F.broadcast(target), "doc_id", "left"), "text", "target")
+    return domain.scored(texts, scorer).drop("text")
+
+
+def op9_leaks(spark, sf_dir):
+    return leaks.leaks(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 def op10_token_counts(spark, sf_dir):
     texts = documents(spark, sf_dir).select("doc_id", "text")
     counted = token_counts.token_counts(texts, public_tokenizers.path("word_bpe_49k.json"))
@@ -87,5 +103,7 @@ ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY scor
     FROM scored)
 SELECT * FROM ranked WHERE rank <= 20""",
     ),
+    "op8_domain_scores": (op8_domain_scores, None),
+    "op9_leaks": (op9_leaks, None),
     "op10_token_counts": (op10_token_counts, None),
 }
