@@ -224,6 +224,10 @@ def found_in(df: DataFrame, model: tagger.Tagger | None, text: str = "text") ->
     return add_columns(df, [text], "personal array<struct<kind: string, start: int, end: int, base: boolean>>", make)
 
 
+def number_of(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def listed(spans: Column) -> Column:
     """kind:start:end of the spans, joined by commas."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")

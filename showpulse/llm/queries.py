@@ -53,7 +53,7 @@ def op6_personal_data(spark, sf_dir):
     texts = documents(spark, sf_dir).select("doc_id", "text")
     found = personal.found_in(texts, personal.fit(texts))
     base = F.filter("personal", lambda s: s["base"])
-    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in personal.KINDS]
+    counts = [personal.number_of(base, kind).alias(f"n_{kind}") for kind in personal.KINDS]
     digest = F.sha2(personal.listed(base), 256).alias("base_sha256")
     return found.select("doc_id", *counts, digest, personal.listed(F.col("personal")).alias("spans"))
 
