@@ -198,23 +198,38 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def tree(keys: np.ndarray, similar: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges of a forest with the components of the symmetric matrix `similar`."""
-    n = len(keys)
-    label, a, b = np.full(n, -1), [], []
-    for start in range(n):
+def _labels(similar: np.ndarray) -> np.ndarray:
+    """For each row of a symmetric matrix, the first row of its component."""
+    label = np.full(len(similar), -1)
+    for start in range(len(similar)):
         if label[start] >= 0:
             continue
         label[start] = start
         front = np.array([start])
         while len(front):
-            reached = similar[front].any(0) & (label < 0)
-            front = np.flatnonzero(reached)
+            front = np.flatnonzero(similar[front].any(0) & (label < 0))
             label[front] = start
-        members = np.flatnonzero(label == start)[1:]
-        a.append(keys[members])
-        b.append(np.full(len(members), keys[start]))
-    return np.concatenate(a), np.concatenate(b)
+    return label
+
+
+def tree(keys: np.ndarray, similar: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that connect what the symmetric matrix `similar` connects.
+
+    Two blocks' own cells connect what belongs together in each block; their common cell only adds what joins the two.
+    """
+    if not side.any():
+        label = _labels(similar)
+        a = np.flatnonzero(label != np.arange(len(label)))
+        return keys[a], keys[label[a]]
+    same = side[:, None] == side[None, :]
+    label = _labels(similar & same)
+    roots, at = np.unique(label, return_inverse=True)
+    joined = np.zeros((len(roots), len(roots)), bool)
+    i, j = np.nonzero(similar & ~same)
+    joined[at[i], at[j]] = True
+    over = _labels(joined)
+    a = np.flatnonzero(over != np.arange(len(over)))
+    return keys[roots[a]], keys[roots[over[a]]]
 
 
 def _signature_edges(least: float) -> Callable:
@@ -229,11 +244,8 @@ def _signature_edges(least: float) -> Callable:
             similar = np.zeros((len(keys), len(keys)), bool)
             for i in range(len(keys) - 1):
                 similar[i, i + 1 :] = (rows[i + 1 :] == rows[i]).sum(1) >= least
-            # Pairs of one block are compared in that block's own cell.
-            if side.any():
-                similar &= side[:, None] != side[None, :]
-            if similar.any():
-                a, b = tree(keys, similar | similar.T)
+            a, b = tree(keys, similar | similar.T, side)
+            if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     return run
@@ -270,11 +282,10 @@ def _exact_links(similarity: float) -> Callable:
             # Without rounding: common / union >= similarity, for thresholds of up to three decimals.
             similar = 1000 * common >= round(1000 * similarity) * (size[:, None] + size[None, :] - common)
             np.fill_diagonal(similar, False)
+            a, b = tree(keys, similar, side)
+            # Pairs of one block are counted in that block's own cell.
             if side.any():
                 similar &= side[:, None] != side[None, :]
-            if not similar.any():
-                continue
-            a, b = tree(keys, similar)
             links = (similar * texts[None, :]).sum(1)
             linked = np.flatnonzero(links)
             yield pa.RecordBatch.from_arrays(
