@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from showpulse.llm.columns import add_columns
 from showpulse.llm.merges import merged
 
-CHUNKS_KEPT = 400_000
+CHUNKS_KEPT = 250_000
 """Encoded chunks and checked pairs that a task remembers, each; it forgets all of them when there are more."""
 
 SPACE = "▁"  # the fixed stand-in for a space
