@@ -35,7 +35,9 @@ def _rank(pivots: Column, row: Column) -> Column:
         F.lit(0),
         lambda low, step: F.when(F.get(pivots, low + step - 1) <= row, low + step).otherwise(low),
     )
-    return F.when(pivots.isNull(), F.lit(0)).otherwise(search)
+    most = 2 * PAGE - 1
+    beyond = F.raise_error(F.lit(f"more than {most} pivots in one list")).cast("int")
+    return F.when(pivots.isNull(), F.lit(0)).when(F.size(pivots) > most, beyond).otherwise(search)
 
 
 def _locate(df: DataFrame, index: DataFrame, pages: DataFrame, keys: list[str], order: list[str], how: str) -> DataFrame:

@@ -30,7 +30,8 @@ def idle_gate(
 ) -> DataFrame:
     """Events of users not seen for longer than `gap`; every sighting, kept or not, restarts the gap.
 
-    With `flag`, all events are returned with the column `seen`, which is false on the events the gate lets through.
+    With `flag`, all events are returned with the column `seen`, which is false on the events the gate lets through and
+    null on events without a time, which the gate never lets through.
     """
     if flag:
         visits = ordered_visits(df, user, ts, order, gap, rows_per_block)

@@ -42,7 +42,10 @@ def running_total_idle(
     gap: str = "3600 seconds",
     rows_per_block: int = ROWS_PER_BLOCK,
 ) -> DataFrame:
-    """Every event with `total_count`, the number of events of its key since the key was last idle longer than `gap`."""
+    """Every event with `total_count`, the number of events of its key since the key was last idle longer than `gap`.
+
+    Events without a time are not counted and have no total.
+    """
     visits = ordered_visits(df, keys, ts, order, gap, rows_per_block)
     return visits.select(*df.columns, F.col("_nth").alias("total_count"))
 

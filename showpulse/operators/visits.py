@@ -39,8 +39,21 @@ def ordered_visits(
     gap: str,
     rows_per_block: int = ROWS_PER_BLOCK,
 ) -> DataFrame:
-    """Every event, with `_starts` (it starts a visit) and `_nth` (its number within its visit, from 1)."""
-    keys, order = names(keys), names(order)
+    """Every event, with `_starts` (it starts a visit) and `_nth` (its number within its visit, from 1).
+
+    An event without a time belongs to no visit: both are null, and other events are numbered as if it were not there.
+    """
+    untimed = df.where(F.col(ts).isNull()).select(
+        "*", F.lit(None).cast("boolean").alias("_starts"), F.lit(None).cast("long").alias("_nth")
+    )
+    return _timed_visits(df.where(F.col(ts).isNotNull()), names(keys), ts, names(order), gap, rows_per_block).unionByName(
+        untimed
+    )
+
+
+def _timed_visits(
+    df: DataFrame, keys: list[str], ts: str, order: list[str], gap: str, rows_per_block: int
+) -> DataFrame:
     blocks = split_groups(df, keys, [ts, *order], rows_per_block)
 
     # What the first event of a block inherits: whether it starts a visit, and how long the visit already is.

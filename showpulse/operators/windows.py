@@ -1,8 +1,15 @@
-"""Counts in sliding windows. All of them work on streams too."""
+"""Counts in sliding windows. `sliding_counts` and `watchers_per_window` work on streams too.
 
-from pyspark.sql import DataFrame
+On tables, events are first counted in panes as wide as the slide, and panes rather than events are copied to the windows
+that they lie in. Streams, and slides that do not divide the length, copy events.
+"""
+
+from collections.abc import Iterator
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from showpulse.functions.durations import micros
 from showpulse.operators.columns import names
 from showpulse.operators.totals import KEYS
 
@@ -19,16 +26,64 @@ def sliding_counts(
     start: str | None = None,
 ) -> DataFrame:
     """Events per key in each window that holds any. `start` shifts the windows, which else align to the epoch."""
+    keys = names(keys)
+    if _has_panes(df, length, slide):
+        panes = df.groupBy(F.window(ts, slide, slide, start).alias("_pane"), *keys).agg(F.count(F.lit(1)).alias("_events"))
+        return (
+            panes.select(*keys, "_events", _starts(length, slide))
+            .groupBy(*keys, "window_start")
+            .agg(F.sum("_events").alias("total_count"))
+            .select(*keys, "window_start", _end(length), "total_count")
+        )
     window = F.window(ts, length, slide, start).alias("_window")
-    counts = df.groupBy(window, *names(keys)).agg(F.count(F.lit(1)).alias("total_count"))
+    counts = df.groupBy(window, *keys).agg(F.count(F.lit(1)).alias("total_count"))
     return counts.select(
-        *names(keys),
+        *keys,
         F.col("_window.start").alias("window_start"),
         F.col("_window.end").alias("window_end"),
         "total_count",
     )
 
 
+def _has_panes(df: DataFrame, length: str, slide: str) -> bool:
+    return not df.isStreaming and micros(length) % micros(slide) == 0
+
+
+def _starts(length: str, slide: str) -> Column:
+    """The starts of the windows that a pane lies in, one row each."""
+    return F.explode(
+        F.array(*(F.col("_pane.start") - F.expr(f"INTERVAL {k * micros(slide) / 1e6:.6f} SECOND") for k in _shifts(length, slide)))
+    ).alias("window_start")
+
+
+def _shifts(length: str, slide: str) -> Iterator[int]:
+    return iter(range(micros(length) // micros(slide)))
+
+
+def _end(length: str) -> Column:
+    return (F.col("window_start") + F.expr(f"INTERVAL {micros(length) / 1e6:.6f} SECOND")).alias("window_end")
+
+
+def newest_windows(
+    df: DataFrame,
+    keys: str | list[str] = KEYS,
+    ts: str = "ts",
+    length: str = LENGTH,
+    slide: str = SLIDE,
+    start: str | None = None,
+) -> DataFrame:
+    """The row of `sliding_counts` with the newest window of each key, without copying any event or pane.
+
+    A key's newest window begins with the pane of its last event, and no event of the key lies beyond that pane.
+    """
+    keys = names(keys)
+    panes = df.groupBy(F.window(ts, slide, slide, start).alias("_pane"), *keys).agg(F.count(F.lit(1)).alias("_events"))
+    newest = panes.groupBy(*keys).agg(F.max(F.struct(F.col("_pane.start").alias("window_start"), "_events")).alias("_newest"))
+    return newest.select(*keys, "_newest.window_start", F.col("_newest._events").alias("total_count")).select(
+        *keys, "window_start", _end(length), "total_count"
+    )
+
+
 def watchers_per_window(
     df: DataFrame,
     show: str = "show_id",
@@ -39,6 +94,14 @@ def watchers_per_window(
     approx: bool = False,
 ) -> DataFrame:
     """Distinct users per show in each window. Streams need `approx`, which keeps a sketch per window and show."""
+    if not approx and _has_panes(df, length, slide):
+        panes = df.where(F.col(user).isNotNull()).select(show, user, F.window(ts, slide, slide).alias("_pane")).distinct()
+        return (
+            panes.select(show, user, _starts(length, slide))
+            .groupBy(show, "window_start")
+            .agg(F.count_distinct(user).alias("watchers"))
+            .select(show, "window_start", _end(length), "watchers")
+        )
     users = F.approx_count_distinct(user) if approx else F.count_distinct(user)
     counts = df.groupBy(F.window(ts, length, slide).alias("_window"), show).agg(users.alias("watchers"))
     return counts.select(

@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 
 from showpulse.functions import codec, keytext
 from showpulse.operators import counts, dedup, totals, views, windows
-from showpulse.operators.latest import latest
 from showpulse.plans.jobs import batch_job, streaming_job
 from showpulse.sources.files import file_events, stored_views
 from showpulse.sources.shared import settled, shared_folder
 from showpulse.streaming import native, sinks, stateful
 
 HOUR = "1 hour"
+SMALL_BLOCK = 100  # rows: cuts the keys of small tables into blocks too
+PIECES = 3
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +64,27 @@ def idle_gate_flagged(spark, sf_dir):
     return dedup.idle_gate(sightings(spark, sf_dir), flag=True)
 
 
+def idle_gate_flagged_split(spark, sf_dir):
+    return dedup.idle_gate(sightings(spark, sf_dir), flag=True, rows_per_block=SMALL_BLOCK)
+
+
+def untimed_sightings(spark, sf_dir):
+    """Every 17th event loses its time."""
+    return sightings(spark, sf_dir).withColumn("ts", F.when(F.col("event_id") % 17 != 0, F.col("ts")))
+
+
+def idle_gate_untimed(spark, sf_dir):
+    return dedup.idle_gate(untimed_sightings(spark, sf_dir))
+
+
+def idle_gate_flagged_untimed(spark, sf_dir):
+    return dedup.idle_gate(untimed_sightings(spark, sf_dir), flag=True)
+
+
+def running_total_idle_untimed(spark, sf_dir):
+    return totals.running_total_idle(untimed_sightings(spark, sf_dir), rows_per_block=SMALL_BLOCK)
+
+
 def session_first(spark, sf_dir):
     return dedup.session_first(sightings(spark, sf_dir))
 
@@ -86,10 +108,18 @@ def running_total(spark, sf_dir):
     return totals.running_total(sightings(spark, sf_dir))
 
 
+def running_total_split(spark, sf_dir):
+    return totals.running_total(sightings(spark, sf_dir), rows_per_block=SMALL_BLOCK)
+
+
 def running_total_idle(spark, sf_dir):
     return totals.running_total_idle(sightings(spark, sf_dir))
 
 
+def running_total_idle_split(spark, sf_dir):
+    return totals.running_total_idle(sightings(spark, sf_dir), rows_per_block=SMALL_BLOCK)
+
+
 def gated_running_total(spark, sf_dir):
     return totals.running_total_idle(settled(dedup.idle_gate(sightings(spark, sf_dir))))
 
@@ -131,7 +161,7 @@ def gated_sliding_counts(spark, sf_dir):
 
 
 def window_latest(spark, sf_dir):
-    return latest(windows.sliding_counts(sightings(spark, sf_dir)), ["user_id", "show_id"], "window_end")
+    return windows.newest_windows(sightings(spark, sf_dir))
 
 
 def window_rows(spark, sf_dir):
@@ -326,25 +356,49 @@ def stream_view_store(spark, sf_dir):
     return flat_views(stored_views(spark, f"{folder}/view"))
 
 
-def job_tables(spark, sf_dir) -> str:
-    """Run the streaming job over the table's messages; the folder of its tables."""
+def job_tables(spark, sf_dir, backwards: bool = False, **options) -> str:
+    """Run the streaming job over the table's messages; the folder of its tables.
+
+    The table arrives in PIECES parts by time, the job is stopped and started again after each. `backwards` sends the newest
+    part first.
+    """
     folder = shared_folder(spark)
-    messages = live_messages(spark, sf_dir)
-    streaming_job(spark, messages, folder, f"{folder}/checkpoint", {"availableNow": True}, order="event_id")
+    table = spark.read.parquet(f"{sf_dir}/events.parquet")
+    ends = table.agg(F.min("ts").alias("a"), F.max("ts").alias("z")).first()
+    step = (ends.z - ends.a) / PIECES if ends.a else None
+    for k in sorted(range(PIECES if step else 0), reverse=backwards):
+        above, below = F.col("ts") >= ends.a + k * step, F.col("ts") < ends.a + (k + 1) * step
+        part = table.where((above if k else F.lit(True)) & (below if k < PIECES - 1 else F.lit(True)))
+        (part if k else part.unionByName(table.where("ts IS NULL"))).write.mode("append").parquet(f"{folder}/sent")
+        stream = file_events(spark, f"{folder}/sent", table.schema, max_files=None).withColumnRenamed("event_type", "show_id")
+        messages = codec.encode_events(as_watch_events(stream), keep=["event_id"])
+        streaming_job(spark, messages, folder, f"{folder}/checkpoint", {"availableNow": True}, order="event_id", **options)
     return folder
 
 
 def job_totals(spark, sf_dir):
-    rows = sinks.upserted(spark, f"{job_tables(spark, sf_dir)}/total_traffic", ["user_id"], ["visit_start", "show_id"])
+    folder = job_tables(spark, sf_dir, clock="event", lateness="0 seconds")
+    rows = sinks.read_totals(spark, f"{folder}/total_traffic", ["user_id"])
     return plain_times(rows.select("user_id", "show_id", "visit_start", "total_count"))
 
 
 def job_windows(spark, sf_dir):
     keys = ["user_id", "show_id"]
-    rows = sinks.upserted(spark, f"{job_tables(spark, sf_dir)}/window_traffic", keys, ["window_end"])
+    folder = job_tables(spark, sf_dir, clock="event", lateness="0 seconds")
+    sinks.compact(spark, f"{folder}/window_traffic", [*keys, "window_start"], "window_end")
+    rows = sinks.read_windows(spark, f"{folder}/window_traffic", keys)
     return plain_times(rows.select(*keys, "window_end", "total_count"))
 
 
+def job_late_events(spark, sf_dir):
+    """Newest events first, by arrival: how often each user and show is stored, and counted over all visits."""
+    folder = job_tables(spark, sf_dir, backwards=True, gated=False)
+    stored = counts.count_by(views.views_to_events(stored_views(spark, f"{folder}/view")), name="stored")
+    visits = sinks.upserted(spark, f"{folder}/total_traffic", ["user_id", "show_id", "visit_start"], "visit_end")
+    counted = visits.groupBy("user_id", "show_id").agg(F.sum("total_count").alias("counted"))
+    return stored.join(counted, ["user_id", "show_id"], "full")
+
+
 def job_batch_counts(spark, sf_dir):
     """Store the views, then count them with the batch job; the text lines it writes."""
     folder = shared_folder(spark)
@@ -412,6 +466,10 @@ _WINDOW_LATEST = f"""{_SIGHTINGS}, {_windows("s")},
 newest AS (SELECT *, row_number() OVER (PARTITION BY user_id, show_id ORDER BY window_end DESC) AS n FROM sliding)"""
 
 _GATE_SQL = f"WITH {_GATE} SELECT * FROM gate"
+_FLAGGED_SQL = f"""WITH {_GATE} SELECT event_id, user_id, show_id, ts,
+    NOT (p IS NULL OR ts - p > INTERVAL 3600 SECONDS) AS seen FROM lagged"""
+_UNTIMED = """whole AS (SELECT event_id, user_id, event_type AS show_id,
+    CASE WHEN event_id % 17 <> 0 THEN ts END AS ts FROM events), s AS (SELECT * FROM whole WHERE ts IS NOT NULL)"""
 _VISITS_SQL = f"""WITH {_GATE}, numbered AS (SELECT *, sum(CASE WHEN p IS NULL OR ts - p > INTERVAL 3600 SECONDS
     THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS v FROM lagged)
 SELECT min_by(event_id, (ts, event_id)) AS event_id, user_id, min_by(show_id, (ts, event_id)) AS show_id,
@@ -434,8 +492,20 @@ QUERIES = {
     "idle_gate": (idle_gate, _GATE_SQL),
     "idle_gate_flagged": (
         idle_gate_flagged,
-        f"""WITH {_GATE} SELECT event_id, user_id, show_id, ts,
-    NOT (p IS NULL OR ts - p > INTERVAL 3600 SECONDS) AS seen FROM lagged""",
+        _FLAGGED_SQL,
+    ),
+    "idle_gate_flagged_split": (idle_gate_flagged_split, _FLAGGED_SQL),
+    "idle_gate_untimed": (idle_gate_untimed, f"WITH {_UNTIMED}, {_GATE_OF_S} SELECT * FROM gate"),
+    "idle_gate_flagged_untimed": (
+        idle_gate_flagged_untimed,
+        f"""WITH {_UNTIMED}, {_GATE_OF_S} SELECT event_id, user_id, show_id, ts,
+    NOT (p IS NULL OR ts - p > INTERVAL 3600 SECONDS) AS seen FROM lagged
+UNION ALL SELECT event_id, user_id, show_id, ts, NULL FROM whole WHERE ts IS NULL""",
+    ),
+    "running_total_idle_untimed": (
+        running_total_idle_untimed,
+        f"""WITH {_UNTIMED}, {_idle_total("s")} SELECT event_id, user_id, show_id, ts, total_count FROM idle
+UNION ALL SELECT event_id, user_id, show_id, ts, NULL FROM whole WHERE ts IS NULL""",
     ),
     "session_first": (session_first, _VISITS_SQL),
     "gated_totals": (
@@ -451,6 +521,11 @@ QUERIES = {
         f"WITH {_GATE}, {_idle_total('gate')} SELECT event_id, user_id, show_id, ts, total_count FROM idle",
     ),
     "running_total": (running_total, f"WITH {_RUNNING} SELECT * FROM running"),
+    "running_total_split": (running_total_split, f"WITH {_RUNNING} SELECT * FROM running"),
+    "running_total_idle_split": (
+        running_total_idle_split,
+        f"WITH {_SIGHTINGS}, {_idle_total('s')} SELECT event_id, user_id, show_id, ts, total_count FROM idle",
+    ),
     "running_total_updates": (running_total_updates, f"WITH {_updates(3600)} SELECT * FROM updates"),
     "batch_totals_5s": (batch_totals_5s, f"WITH {_updates(5)} SELECT * FROM updates"),
     "first_per_batch": (first_per_batch, _FIRST_PER_HOUR_SQL),
@@ -576,6 +651,11 @@ SELECT user_id, show_id, visit_start, total_count FROM newest WHERE n = 1""",
         f"""WITH {_JOB_GATE}, {_windows("gate")}, newest AS (SELECT *, row_number() OVER (
     PARTITION BY user_id, show_id ORDER BY window_end DESC) AS n FROM sliding)
 SELECT user_id, show_id, window_end, total_count FROM newest WHERE n = 1""",
+    ),
+    "job_late_events": (
+        job_late_events,
+        """SELECT CAST(user_id AS VARCHAR) AS user_id, event_type AS show_id, count(*) AS stored,
+    CAST(count(*) AS BIGINT) AS counted FROM events GROUP BY ALL""",
     ),
     "job_batch_counts": (job_batch_counts, _COUNT_LINES_SQL),
 }

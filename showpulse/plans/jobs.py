@@ -6,13 +6,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from showpulse.functions.codec import decode_events, parse_events
 from showpulse.operators.counts import group_count, view_counts
-from showpulse.operators.views import split_storable, traffic_rows, views_to_events
+from showpulse.operators.views import REQUIRED, split_storable, traffic_rows, views_to_events
 from showpulse.operators.windows import sliding_counts
 from showpulse.sources.files import stored_views
 from showpulse.streaming.sinks import append_views, shared, upsert_log, write_batch, write_counts, write_pairs_text
 from showpulse.streaming.stateful import idle_gate_stream, running_total_idle_stream
 
 KEYS = ["user_id", "show_id"]
+ARRIVED = "counted_at"
 EVERY_5_SECONDS = {"processingTime": "5 seconds"}
 
 
@@ -25,21 +26,33 @@ def streaming_job(
     ts: str = "event_time",
     order: str | list[str] = ("source_partition", "source_offset"),
     gap: str = "3600 seconds",
-    clock: str = "event",
-    lateness: str = "0 seconds",
+    clock: str = "arrival",
+    lateness: str | None = None,
     gated: bool = True,
+    allow_late: bool = False,
 ) -> list[StreamingQuery]:
     """Store views and bad messages, gate users, keep totals and window counts. `messages` is a stream with `value`.
 
     Tables under `out`: `view`, `quarantine`, `rejected`, `gated` (parquet), `total_traffic` and `window_traffic`
     (upserts). With `gated`, a user counts once per idle gap, in the totals and windows too; without, every view does.
+    `clock="arrival"`, the default, counts an event when it arrives: idle gaps, visits and windows go by the start time of
+    the micro-batch that first held it (`counted_at`), which never goes back, so no event is late and none is lost, in
+    whatever order they come and with or without a time of their own. `clock="event"` goes by the time in the events and
+    needs `lateness`, how far back times may lie; events without a time are then `rejected`. Spark drops events beyond it;
+    a job that ends counts them and fails if there are any, unless `allow_late`.
+
     The gate's output is a table, so that totals and windows share it, and each query restarts from its own checkpoint.
     A trigger that ends by itself (`{"availableNow": True}`) ends every query, in the order they depend on each other.
     """
     trigger = trigger or EVERY_5_SECONDS
     ends = trigger.get("availableNow") or trigger.get("once")
-    if ends and clock == "processing":
-        raise ValueError("timeouts by the wall clock keep a stream running; use the event clock with this trigger")
+    if clock not in ("arrival", "event"):
+        raise ValueError(f"unknown clock: {clock}")
+    if clock == "event" and lateness is None:
+        raise ValueError("with the event clock, say by how much events may be late")
+    arrival = clock == "arrival"
+    required = REQUIRED if arrival else (*REQUIRED, ts)
+    when, lateness = (ARRIVED, "0 seconds") if arrival else (ts, lateness)
 
     def start(df: DataFrame, name: str, writer) -> StreamingQuery:
         stream = df.writeStream.outputMode("update").trigger(**trigger)
@@ -47,17 +60,19 @@ def streaming_job(
 
     def store(parsed: DataFrame, batch_id: int) -> None:
         good = parsed.where(~F.col("bad"))
-        append_views(good, batch_id, f"{out}/view", ts=ts, order=order, rejected=f"{out}/rejected")
+        append_views(good, batch_id, f"{out}/view", ts=ts, order=order, rejected=f"{out}/rejected", required=required)
 
     def quarantine(parsed: DataFrame, batch_id: int) -> None:
         write_batch(parsed.where("bad").select(*messages.columns), batch_id, f"{out}/quarantine")
 
     queries = [start(parse_events(messages), "view", shared(store, quarantine))]
 
-    events, _ = split_storable(decode_events(messages)[0])
+    events, _ = split_storable(decode_events(messages)[0], required)
+    if arrival:
+        events = events.withColumn(ARRIVED, F.current_timestamp())
     if gated:
         gate = (
-            idle_gate_stream(events, "user_id", ts, order, gap, clock, lateness)
+            idle_gate_stream(events, "user_id", when, order, gap, "event", lateness)
             .writeStream.format("parquet")
             .outputMode("append")
             .trigger(**trigger)
@@ -71,16 +86,24 @@ def streaming_job(
     else:
         counted = events
 
-    totals = running_total_idle_stream(counted, KEYS, ts, gap, clock, lateness)
-    windows = sliding_counts(counted.withWatermark(ts, lateness), KEYS, ts)
+    totals = running_total_idle_stream(counted, KEYS, when, gap, "event", lateness)
+    windows = sliding_counts(counted.withWatermark(when, lateness), KEYS, when)
     queries.append(start(totals, "total_traffic", _upsert(f"{out}/total_traffic", ["visit_start", "visit_end"])))
     queries.append(start(windows, "window_traffic", _upsert(f"{out}/window_traffic", ["window_start", "window_end"])))
     if ends:
         for query in queries:
             query.awaitTermination()
+        if (late := late_events(queries)) and not allow_late:
+            raise RuntimeError(f"{late} events or windows were later than {lateness} and are not counted")
     return queries
 
 
+def late_events(queries: list[StreamingQuery]) -> int:
+    """Rows that the queries' recent batches dropped as they were behind the watermark."""
+    states = [s for query in queries for p in query.recentProgress for s in p.stateOperators]
+    return sum(s.numRowsDroppedByWatermark for s in states)
+
+
 def _upsert(path: str, times: list[str]):
     def write(batch: DataFrame, batch_id: int) -> None:
         upsert_log(traffic_rows(batch, keys=(*KEYS, *times)), batch_id, path)

@@ -22,8 +22,22 @@ def file_events(
 
 
 def stored_views(spark: SparkSession, path: str) -> DataFrame:
-    """All stored views. Readers that use few columns, or few dates, load no more than those."""
-    return spark.read.schema(VIEW).parquet(path)
+    """All stored views of finished batches. Readers that use few columns, or few dates, load no more than those."""
+    batches = finished(spark, path)
+    if not batches:
+        return spark.createDataFrame([], VIEW)
+    folders = [f"{path}/batch_id={batch}" for batch in batches]
+    return spark.read.schema(VIEW).option("basePath", path).parquet(*folders)
+
+
+def finished(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers of the `name=number` folders whose write has finished."""
+    done = file_system(spark, folder).globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/*/_SUCCESS"))
+    return sorted(int(status.getPath().getParent().getName().split("=")[1]) for status in done or [])
+
+
+def file_system(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def publish_files(messages: DataFrame, path: str, checkpoint: str | None = None) -> StreamingQuery | None:

@@ -1,5 +1,6 @@
 """The folder that all executors share."""
 
+import re
 import tempfile
 import uuid
 
@@ -10,7 +11,7 @@ def shared_folder(spark: SparkSession) -> str:
     """A new folder name under `spark.checkpoint.dir`. Only a local master may do without that setting."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="showpulse-")
     return f"{root}/{uuid.uuid4()}"

@@ -8,9 +8,11 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from showpulse.operators.columns import names
 from showpulse.operators.counts import pair_lines
 from showpulse.operators.latest import latest
-from showpulse.operators.views import last_per_second, split_storable, view_rows
+from showpulse.operators.views import REQUIRED, last_per_second, split_storable, view_rows
+from showpulse.sources.files import file_system, finished
 
 
 def append_views(
@@ -22,6 +24,7 @@ def append_views(
     ts: str = "event_time",
     order: str | list[str] = "event_id",
     rejected: str | None = None,
+    required: tuple[str, ...] = REQUIRED,
 ) -> None:
     """Store the views of one batch, by date. Events that cannot be stored go to the table `rejected`, if named.
 
@@ -29,7 +32,7 @@ def append_views(
     """
     if dedup not in (None, "user_second"):
         raise ValueError(f"unknown dedup: {dedup}")
-    stored, lacking = split_storable(df)
+    stored, lacking = split_storable(df, required)
     if dedup == "user_second":
         stored = last_per_second(stored, "user_id", ts, order)
     write_batch(view_rows(stored, written_at), batch_id, path, partition_by=["record_date"])
@@ -51,7 +54,11 @@ def upsert_log(df: DataFrame, batch_id: int, path: str) -> None:
 def upserted(
     spark: SparkSession, path: str, keys: str | list[str], order: str | list[str] = "batch_id"
 ) -> DataFrame:
-    """The table at `path`: the last row of each key by `order`. It reads the newest base and the batches after it."""
+    """The table at `path`: the last row of each key by `order`, of equals the one of the last batch.
+
+    `order` is the order of the rows of a key within the table, say its window or visit; rows of one key and order are
+    versions of each other, the newest of which is in the newest batch. It reads the newest base and the batches after it.
+    """
     base, batches = _base_and_batches(spark, path)
     parts = []
     if base is not None:
@@ -63,7 +70,17 @@ def upserted(
     if not parts:
         raise ValueError(f"no complete batch at {path}")
     rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return latest(rows, keys, order)
+    return latest(rows, keys, [*(name for name in names(order) if name != "batch_id"), "batch_id"])
+
+
+def read_totals(spark: SparkSession, path: str, keys: str | list[str] = ("user_id", "show_id")) -> DataFrame:
+    """The newest visit of each key with its newest total; for users alone, of the show whose visit began last."""
+    return upserted(spark, path, keys, ["visit_start", "show_id", "visit_end"])
+
+
+def read_windows(spark: SparkSession, path: str, keys: str | list[str] = ("user_id", "show_id")) -> DataFrame:
+    """The newest window of each key with its newest count."""
+    return upserted(spark, path, keys, ["window_end", "show_id"])
 
 
 def compact(
@@ -71,35 +88,30 @@ def compact(
 ) -> None:
     """Write the current rows as the new base, so that readers skip the batches it covers.
 
-    `purge` then deletes these batches and older bases; readers that already planned to read them will fail.
+    `keys` must be those of the table: if one batch holds two rows of a key, a base would lose one of them, so that is an
+    error. `purge` then deletes these batches and older bases; readers that already planned to read them will fail.
     """
     base, batches = _base_and_batches(spark, path)
     if not batches:
         return
     upto = max(batches)
+    folders = [f"{path}/log/batch_id={batch}" for batch in batches]
+    log = spark.read.option("basePath", f"{path}/log").parquet(*folders)
+    if log.groupBy("batch_id", *names(keys)).count().where("count > 1").take(1):
+        raise ValueError(f"{names(keys)} are not the whole key of {path}")
     upserted(spark, path, keys, order).write.mode("overwrite").parquet(f"{path}/base/upto={upto}")
     if purge:
         old = [f"{path}/log/batch_id={batch}" for batch in batches]
         if base is not None:
             old.append(f"{path}/base/upto={base}")
         for folder in old:
-            _file_system(spark, folder).delete(spark._jvm.org.apache.hadoop.fs.Path(folder), True)
+            file_system(spark, folder).delete(spark._jvm.org.apache.hadoop.fs.Path(folder), True)
 
 
 def _base_and_batches(spark: SparkSession, path: str) -> tuple[int | None, list[int]]:
     """The newest complete base, and the complete batches after it."""
-    base = max(_complete(spark, f"{path}/base"), default=None)
-    return base, sorted(batch for batch in _complete(spark, f"{path}/log") if base is None or batch > base)
-
-
-def _complete(spark: SparkSession, folder: str) -> list[int]:
-    """Numbers of the `name=number` folders whose write has finished."""
-    done = _file_system(spark, folder).globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/*/_SUCCESS"))
-    return [int(status.getPath().getParent().getName().split("=")[1]) for status in done or []]
-
-
-def _file_system(spark: SparkSession, path: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    base = max(finished(spark, f"{path}/base"), default=None)
+    return base, sorted(batch for batch in finished(spark, f"{path}/log") if base is None or batch > base)
 
 
 def write_pairs_text(df: DataFrame, key: str, count: str, path: str) -> None:

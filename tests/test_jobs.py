@@ -36,6 +36,7 @@ class Inbox:
         (self.folder / "in" / f"{self.sent:05d}.json").write_text("\n".join(lines))
 
     def run(self, **options):
+        options = {"clock": "event", "lateness": "0 seconds"} | options
         messages = self.spark.readStream.schema("value string, n long").json(str(self.folder / "in"))
         streaming_job(self.spark, messages, str(self.folder / "out"), str(self.folder / "checkpoint"), NOW, order="n", **options)
 
@@ -84,11 +85,58 @@ def test_ungated_job_counts_every_view(spark, tmp_path):
     assert windows.agg({"total_count": "max"}).first()[0] == 2
 
 
-def test_wall_clock_needs_an_endless_trigger(spark, tmp_path):
+def test_event_clock_needs_lateness(spark, tmp_path):
     inbox = Inbox(spark, tmp_path)
     inbox.send(FIRST)
     with pytest.raises(ValueError):
-        inbox.run(clock="processing")
+        inbox.run(lateness=None)
+    with pytest.raises(ValueError):
+        inbox.run(clock="wall")
+
+
+def test_nothing_is_lost_by_arrival(spark, tmp_path):
+    """Newer events first, and one without a time: all are counted."""
+    inbox = Inbox(spark, tmp_path)
+    untimed = json.dumps({k: v for k, v in json.loads(message("x", "a", 0)).items() if k != "timestamp"})
+    for part in (THIRD, SECOND, [*FIRST, untimed]):
+        inbox.send(part)
+        inbox.run(clock="arrival", gated=False)
+    visits = inbox.upserts("total_traffic", ["user_id", "show_id", "visit_start"], "visit_end").collect()
+    totals = Counter()
+    for r in visits:
+        totals[r.user_id, r.show_id] += r.total_count
+    assert totals == {("u", "a"): 2, ("u", "b"): 3, ("v", "a"): 2, ("w", "b"): 1, ("x", "a"): 1}
+    assert inbox.table("view").count() == 9
+
+
+def test_late_events_fail_the_job(spark, tmp_path):
+    inbox = Inbox(spark, tmp_path)
+    inbox.send(THIRD)
+    inbox.run()
+    inbox.send(FIRST)
+    with pytest.raises(RuntimeError, match="later than"):
+        inbox.run()
+
+
+def test_untimed_events_are_rejected_by_the_event_clock(spark, tmp_path):
+    inbox = Inbox(spark, tmp_path)
+    inbox.send([json.dumps({k: v for k, v in json.loads(message("x", "a", 0)).items() if k != "timestamp"}), *FIRST])
+    inbox.run()
+    assert [r.user_id for r in inbox.table("rejected").collect()] == ["x"]
+
+
+def test_reads_take_the_newest_batch_of_equal_rows(spark, tmp_path):
+    schema = "user_id string, show_id string, window_end int, total_count int"
+    for batch, count in enumerate((1, 2, 3)):
+        rows = [(f"u{i}", "s", w, count) for i in range(200) for w in (10, 40)]
+        sinks.upsert_log(spark.createDataFrame(rows, schema), batch, str(tmp_path / "t"))
+    keys = ["user_id", "show_id"]
+    got = lambda: {(r.window_end, r.total_count) for r in sinks.read_windows(spark, str(tmp_path / "t"), keys).collect()}
+    assert got() == {(40, 3)}
+    with pytest.raises(ValueError):
+        sinks.compact(spark, str(tmp_path / "t"), keys, "window_end")
+    sinks.compact(spark, str(tmp_path / "t"), [*keys, "window_end"], "window_end", purge=True)
+    assert got() == {(40, 3)}
 
 
 def test_job_that_keeps_running(spark, tmp_path):
@@ -98,7 +146,8 @@ def test_job_that_keeps_running(spark, tmp_path):
     messages = spark.readStream.schema("value string, n long").json(str(tmp_path / "in"))
     out = tmp_path / "out"
     queries = streaming_job(
-        spark, messages, str(out), str(tmp_path / "checkpoint"), {"processingTime": "1 second"}, order="n"
+        spark, messages, str(out), str(tmp_path / "checkpoint"), {"processingTime": "1 second"}, order="n",
+        clock="event", lateness="0 seconds",
     )
     try:
         deadline = time.monotonic() + 90
