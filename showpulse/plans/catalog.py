@@ -3,6 +3,8 @@
 The table plays a stream of views: `event_type` is the show, `value` the rating, `event_id` the order of arrival.
 """
 
+from collections.abc import Callable, Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -282,96 +284,97 @@ def decode_quarantine(spark, sf_dir):
 
 # --- streams ------------------------------------------------------------------------------------------------------
 #
-# The whole table is streamed once, in one trigger: its files need not be in time order. Results are written to the
-# shared folder and read back.
-
-
-def live_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    # A pattern that only the table's name matches: unlike a plain path, it may also name a single file.
-    stream = file_events(spark, f"{sf_dir}/event[s].parquet", schema, max_files=None)
-    return stream.withColumnRenamed("event_type", "show_id")
+# The whole table is streamed in parts by time, and every stream is stopped and started again after each part, so that keys,
+# windows and visits cross triggers and restarts. Results are written to the shared folder and read back.
 
 
-def live_sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return live_events(spark, sf_dir).select("event_id", "user_id", "show_id", F.col("ts").cast("timestamp").alias("ts"))
+def parts_by_time(spark: SparkSession, sf_dir: str, backwards: bool = False) -> Iterator[DataFrame]:
+    """The table in PIECES parts by time, events without a time in the first; `backwards` gives the newest part first."""
+    table = spark.read.parquet(f"{sf_dir}/events.parquet")
+    ends = table.agg(F.min("ts").alias("a"), F.max("ts").alias("z")).first()
+    step = (ends.z - ends.a) / PIECES if ends.a else None
+    for k in sorted(range(PIECES if step else 0), reverse=backwards):
+        above, below = F.col("ts") >= ends.a + k * step, F.col("ts") < ends.a + (k + 1) * step
+        part = table.where((above if k else F.lit(True)) & (below if k < PIECES - 1 else F.lit(True)))
+        yield part if k else part.unionByName(table.where("ts IS NULL"))
 
 
-def live_watch_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_watch_events(live_events(spark, sf_dir))
+def live_events(spark: SparkSession, sf_dir: str, folder: str, backwards: bool = False) -> Iterator[DataFrame]:
+    """The stream of the table's events, once for each part, after that part has arrived."""
+    for part in parts_by_time(spark, sf_dir, backwards):
+        part.write.mode("append").parquet(f"{folder}/sent")
+        stream = file_events(spark, f"{folder}/sent", part.schema, max_files=None)
+        yield stream.withColumnRenamed("event_type", "show_id")
 
 
-def live_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table as JSON messages, with the order of arrival."""
-    return codec.encode_events(live_watch_events(spark, sf_dir), keep=["event_id"])
+def sightings_of(events: DataFrame) -> DataFrame:
+    return events.select("event_id", "user_id", "show_id", F.col("ts").cast("timestamp").alias("ts"))
 
 
-def drained(df: DataFrame, folder: str, mode: str, writer) -> None:
-    """Run a stream to the end of its input."""
-    stream = df.writeStream.outputMode(mode).trigger(availableNow=True)
-    stream.option("checkpointLocation", f"{folder}/checkpoint").foreachBatch(writer).start().awaitTermination()
+def drained(spark: SparkSession, sf_dir: str, folder: str, of: Callable[[DataFrame], DataFrame], mode: str, writer) -> None:
+    """Run what `of` makes of the stream to the end of the input."""
+    for events in live_events(spark, sf_dir, folder):
+        stream = of(events).writeStream.outputMode(mode).trigger(availableNow=True)
+        stream.option("checkpointLocation", f"{folder}/checkpoint").foreachBatch(writer).start().awaitTermination()
 
 
-def upserts_of(spark: SparkSession, df: DataFrame, keys: list[str]) -> DataFrame:
+def upserts_of(spark: SparkSession, sf_dir: str, of: Callable[[DataFrame], DataFrame], keys: list[str]) -> DataFrame:
     """Run a stream in update mode into an upsert table, and read the table."""
     folder = shared_folder(spark)
-    drained(df, folder, "update", lambda batch, batch_id: sinks.upsert_log(batch, batch_id, f"{folder}/table"))
+    drained(spark, sf_dir, folder, of, "update", lambda batch, batch_id: sinks.upsert_log(batch, batch_id, f"{folder}/table"))
     return plain_times(sinks.upserted(spark, f"{folder}/table", keys).drop("batch_id"))
 
 
 def stream_idle_gate(spark, sf_dir):
     folder = shared_folder(spark)
-    gate = stateful.idle_gate_stream(live_sightings(spark, sf_dir))
-    drained(gate, folder, "append", lambda batch, batch_id: sinks.write_batch(batch, batch_id, f"{folder}/table"))
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        sinks.write_batch(batch, batch_id, f"{folder}/table")
+
+    drained(spark, sf_dir, folder, lambda events: stateful.idle_gate_stream(sightings_of(events)), "append", store)
     return plain_times(spark.read.parquet(f"{folder}/table").drop("batch_id"))
 
 
 def stream_running_total_idle(spark, sf_dir):
-    totals_so_far = stateful.running_total_idle_stream(live_sightings(spark, sf_dir))
-    return upserts_of(spark, totals_so_far, ["user_id", "show_id", "visit_start"])
+    keys = ["user_id", "show_id", "visit_start"]
+    return upserts_of(spark, sf_dir, lambda events: stateful.running_total_idle_stream(sightings_of(events)), keys)
 
 
 def stream_total(spark, sf_dir):
-    return upserts_of(spark, native.running_total_stream(live_sightings(spark, sf_dir)), ["user_id", "show_id"])
+    keys = ["user_id", "show_id"]
+    return upserts_of(spark, sf_dir, lambda events: native.running_total_stream(sightings_of(events)), keys)
 
 
 def stream_sliding_counts(spark, sf_dir):
-    sliding = windows.sliding_counts(live_sightings(spark, sf_dir).withWatermark("ts", "0 seconds"))
-    return upserts_of(spark, sliding, ["user_id", "show_id", "window_start"])
+    def sliding(events: DataFrame) -> DataFrame:
+        return windows.sliding_counts(sightings_of(events).withWatermark("ts", "0 seconds"))
+
+    return upserts_of(spark, sf_dir, sliding, ["user_id", "show_id", "window_start"])
 
 
 def stream_first_per_batch(spark, sf_dir):
-    first = dedup.first_per_batch(live_sightings(spark, sf_dir).withWatermark("ts", "0 seconds"), batch=HOUR)
-    return upserts_of(spark, first.withColumn("hour", F.date_trunc("hour", "ts")), ["user_id", "hour"]).drop("hour")
+    def first(events: DataFrame) -> DataFrame:
+        rows = dedup.first_per_batch(sightings_of(events).withWatermark("ts", "0 seconds"), batch=HOUR)
+        return rows.withColumn("hour", F.date_trunc("hour", "ts"))
+
+    return upserts_of(spark, sf_dir, first, ["user_id", "hour"]).drop("hour")
 
 
 def stream_view_store(spark, sf_dir):
     folder = shared_folder(spark)
-    drained(
-        live_watch_events(spark, sf_dir),
-        folder,
-        "append",
-        lambda batch, batch_id: sinks.append_views(batch, batch_id, f"{folder}/view", written_at=F.col("event_time")),
-    )
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        sinks.append_views(batch, batch_id, f"{folder}/view", written_at=F.col("event_time"))
+
+    drained(spark, sf_dir, folder, as_watch_events, "append", store)
     return flat_views(stored_views(spark, f"{folder}/view"))
 
 
 def job_tables(spark, sf_dir, backwards: bool = False, **options) -> str:
-    """Run the streaming job over the table's messages; the folder of its tables.
-
-    The table arrives in PIECES parts by time, the job is stopped and started again after each. `backwards` sends the newest
-    part first.
-    """
+    """Run the streaming job over the table's messages, anew after each part of them; the folder of its tables."""
     folder = shared_folder(spark)
-    table = spark.read.parquet(f"{sf_dir}/events.parquet")
-    ends = table.agg(F.min("ts").alias("a"), F.max("ts").alias("z")).first()
-    step = (ends.z - ends.a) / PIECES if ends.a else None
-    for k in sorted(range(PIECES if step else 0), reverse=backwards):
-        above, below = F.col("ts") >= ends.a + k * step, F.col("ts") < ends.a + (k + 1) * step
-        part = table.where((above if k else F.lit(True)) & (below if k < PIECES - 1 else F.lit(True)))
-        (part if k else part.unionByName(table.where("ts IS NULL"))).write.mode("append").parquet(f"{folder}/sent")
-        stream = file_events(spark, f"{folder}/sent", table.schema, max_files=None).withColumnRenamed("event_type", "show_id")
-        messages = codec.encode_events(as_watch_events(stream), keep=["event_id"])
+    for events in live_events(spark, sf_dir, folder, backwards):
+        messages = codec.encode_events(as_watch_events(events), keep=["event_id"])
         streaming_job(spark, messages, folder, f"{folder}/checkpoint", {"availableNow": True}, order="event_id", **options)
     return folder
 
