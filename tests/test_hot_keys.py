@@ -3,10 +3,12 @@
 import random
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from showpulse.operators import blocks, dedup, totals
+from showpulse.streaming import stateful
 
 START = datetime(2024, 1, 1)
 
@@ -89,3 +91,47 @@ def test_deep_page_index(spark):
     total = totals.running_total(df, "user_id", rows_per_block=1)
     assert total.where("total_count <> event_id + 1").count() == 0
     assert total.count() == 6000
+
+
+def test_stream_holds_few_rows_of_a_hot_key(monkeypatch):
+    """However many slot rows of a key one trigger brings, they are reduced as they come, and the first row of a slot stays."""
+    monkeypatch.setattr(stateful, "ROWS_AT_ONCE", 5_000)
+    rng = random.Random(4)
+    width, frames, seen = 3_600, 60, []
+
+    def parts():
+        for k in range(frames):
+            rows = [(rng.randrange(20 * width), k * 1_000 + i) for i in range(1_000)]
+            seen.extend(rows)
+            yield pd.DataFrame(
+                {
+                    "_key": [{"user_id": "hot"}] * 1_000,
+                    "_first": [t for t, _ in rows],
+                    "_last": [t for t, _ in rows],
+                    "_events": [1] * 1_000,
+                    "_row": [{"event_id": i, "ts": t} for t, i in rows],
+                }
+            )
+
+    got = stateful._one_per_slot(stateful._ordered(parts(), stateful.Keys(), width, ["event_id"]), width)
+    slots = {}
+    for t, i in seen:
+        slots.setdefault(t // width, []).append((t, i))
+    want = [(*min(rows), max(t for t, _ in rows), len(rows)) for _, rows in sorted(slots.items())]
+    assert [(f, r["event_id"], last, n) for f, r, last, n in zip(got._first, got._row, got._last, got._events)] == want
+
+
+def test_stream_orders_null_before_others():
+    frame = pd.DataFrame(
+        {
+            "_key": [{"u": None}, {"u": None}, {"u": 2**53 + 1}, {"u": 2**53}],
+            "_first": [5, 5, 5, 5],
+            "_last": [5, 5, 5, 5],
+            "_events": [1, 1, 1, 1],
+            "_row": [{"event_id": 3}, {"event_id": None}, {"event_id": 2**53 + 1}, {"event_id": 1}],
+        }
+    )
+    keys = stateful.Keys()
+    got = stateful._ordered([frame], keys, 10, ["event_id"])
+    assert [r["event_id"] for r in got["_row"]] == [None, 3, 2**53 + 1, 1]
+    assert list(keys) == [(None,), (2**53 + 1,), (2**53,)]
