@@ -3,6 +3,7 @@
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -47,6 +48,7 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
     )
     spark = builder.config(map=SETTINGS).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

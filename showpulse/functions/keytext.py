@@ -14,7 +14,7 @@ def date_text(time: Column) -> Column:
 
 
 def parse_date_text(text: Column) -> Column:
-    return F.try_to_timestamp(F.substring(text, 5, 64), F.lit(DATE_TEXT_AFTER_WEEKDAY))
+    return F.try_to_timestamp(F.substr(text, F.lit(5)), F.lit(DATE_TEXT_AFTER_WEEKDAY))
 
 
 def record_date(time: Column) -> Column:

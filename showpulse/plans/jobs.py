@@ -14,6 +14,8 @@ from showpulse.streaming.stateful import idle_gate_stream, running_total_idle_st
 
 KEYS = ["user_id", "show_id"]
 ARRIVED = "counted_at"
+# Fixed value: name of the text file of counts.
+COUNTS_TEXT = "batchResult.txt"
 EVERY_5_SECONDS = {"processingTime": "5 seconds"}
 
 
@@ -115,5 +117,5 @@ def batch_job(spark: SparkSession, views: str, out: str) -> DataFrame:
     """Count stored views per user and show, into `out/batch` and `out/batchResult.txt`; gives the number of groups."""
     write_counts(view_counts(views_to_events(stored_views(spark, views))), f"{out}/batch")
     counted = spark.read.parquet(f"{out}/batch")
-    write_pairs_text(counted, "count_key", "view_count", f"{out}/batchResult.txt")
+    write_pairs_text(counted, "count_key", "view_count", f"{out}/{COUNTS_TEXT}")
     return group_count(counted, KEYS)
