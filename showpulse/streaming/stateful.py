@@ -25,8 +25,9 @@ from showpulse.operators.columns import names
 from showpulse.operators.totals import KEYS
 from showpulse.streaming.slots import slot_rows
 
-BUCKETS = 1_024
-"""Groups of keys that share a state row. With 10 million live keys a row holds about 10,000 of them."""
+BUCKETS = 256
+"""Groups of keys that share a state row, and the most tasks that can share the work: give a large cluster several times its
+shuffle partitions. With 10 million live keys a row of 256 holds about 40,000 of them."""
 ROWS_AT_ONCE = 200_000
 """Slot rows of a bucket that are held before they are reduced to one row per key and slot."""
 NEVER = np.iinfo(np.int64).min
