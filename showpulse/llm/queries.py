@@ -4,7 +4,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from showpulse.llm import domain, language, leaks, nearest, personal, pieces, quality, sampling, setjoin, shards, token_counts
+from showpulse.llm import (
+    alignment,
+    chunks,
+    domain,
+    language,
+    leaks,
+    nearest,
+    packing,
+    personal,
+    pieces,
+    prefixes,
+    quality,
+    sampling,
+    setjoin,
+    shards,
+    token_counts,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,6 +101,62 @@ def op10_token_counts(spark, sf_dir):
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op11_prefix_trie(spark, sf_dir):
+    return prefixes.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_alignment(spark, sf_dir):
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    found = alignment.aligned(documents(spark, sf_dir).select("doc_id", "text"), a, b).drop("text")
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    counts = ["n_a", "n_b", "n_groups", "n_links"]
+    scored = alignment.agreement(found.select("doc_id", *counts, digest, "pairs", "times"), b)
+    return scored.select("doc_id", *counts, "n_best", "count_sum", "groups_sha256")
+
+
+SEQUENCE = packing.Limits(tokens=4_096, segments=256, loss=4_096)
+END_ID = 2
+
+
+def op13_packing(spark, sf_dir):
+    texts = documents(spark, sf_dir).select("doc_id", "text")
+    ids = chunks.tokenized(texts, public_tokenizers.path("word_bpe_49k.json"), END_ID).drop("text")
+    return packing.packed(ids, SEQUENCE).select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        F.col("example_tokens").alias("doc_tokens"),
+        "sequence_id",
+        "offset",
+    )
+
+
+# The crc32 of a number's text, by bytes and bits.
+_CRC = """xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(range(1, len(c::VARCHAR) + 1),
+        lambda i: unicode(substr(c::VARCHAR, i, 1))::UBIGINT)),
+    lambda s, b: list_reduce(list_prepend(xor(s, b), list_transform(range(8), lambda i: 0::UBIGINT)),
+        lambda r, z: CASE WHEN r % 2 = 1 THEN xor(r // 2, 3988292384::UBIGINT) ELSE r // 2 END)), 4294967295::UBIGINT)"""
+
+_TRIE_SQL = f"""WITH own AS (SELECT conv_id AS c, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}}
+        ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+taking AS (SELECT c, p, CAST({_CRC} % 4 AS BIGINT) AS h FROM own),
+rebuilt AS (SELECT t.c, list_concat(coalesce(b.p[1:t.h], []), t.p[t.h + 1:]) AS p
+    FROM taking t LEFT JOIN own b ON b.c = t.c - t.c % 20),
+members AS (SELECT c, unnest(range(0, len(p) + 1)) AS d, p FROM rebuilt),
+nodes AS (SELECT p[1:d] AS node, d, min(c) AS conv_id, count(*) AS n_convs,
+        coalesce(string_agg(CASE WHEN len(p) = d THEN c::VARCHAR END, ',' ORDER BY c), '') AS ends
+    FROM members GROUP BY node, d),
+kin AS (SELECT node[1:d - 1] AS node, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+costs AS (SELECT n.node, n.d, coalesce(n_children, 0) AS n_children, CASE WHEN n.d = 0 THEN 0 ELSE (n_convs - 1)
+        * len(regexp_extract_all(n.node[n.d].t, '[^\x20\x09-\x0D]+')) END AS saved FROM nodes n LEFT JOIN kin USING (node)),
+under AS (SELECT node[1:above] AS node, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(saved) AS saved_tokens
+    FROM (SELECT *, unnest(range(0, d + 1)) AS above FROM costs) GROUP BY ALL)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, c.n_children, CAST(u.n_leaves AS BIGINT) AS n_leaves,
+    CAST(u.saved_tokens AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM nodes n JOIN costs c USING (node) JOIN under u USING (node) LEFT JOIN nodes p ON n.d > 0 AND p.node = n.node[1:n.d - 1]"""
+
 # Each query with its SQL.
 QUERIES = {
     "op1_sentencepiece": (op1_sentencepiece, None),
@@ -106,4 +178,7 @@ SELECT * FROM ranked WHERE rank <= 20""",
     "op8_domain_scores": (op8_domain_scores, None),
     "op9_leaks": (op9_leaks, None),
     "op10_token_counts": (op10_token_counts, None),
+    "op11_prefix_trie": (op11_prefix_trie, _TRIE_SQL),
+    "op12_alignment": (op12_alignment, None),
+    "op13_packing": (op13_packing, None),
 }
