@@ -1,3 +1,7 @@
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from oracle import assert_same
 
@@ -17,3 +21,17 @@ def test_entry_has_rows(spark):
     result = driver.entry(spark)
     assert result.columns == ["user_id", "show_id", "total_count"]
     assert result.count() > 0
+
+
+@pytest.mark.parametrize("blocked", ["showpulse.llm", "showpulse.llm.queries", "ahocorasick", "corpus_pipeline"])
+def test_queries_remain_when_a_package_is_missing(blocked):
+    code = f"""
+import sys
+sys.modules[{blocked!r}] = None
+import __spark_entry__ as driver
+from showpulse.plans.catalog import QUERIES
+assert set(QUERIES) <= set(driver.queries()), driver.queries()
+assert set(driver.oracle_sql()) <= set(driver.queries())
+assert "pipeline" not in driver.queries()
+"""
+    subprocess.run([sys.executable, "-c", code], cwd=Path(driver.__file__).parent, check=True)
