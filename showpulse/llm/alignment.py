@@ -15,6 +15,7 @@ named like an output are replaced. An empty table gives an empty table.
 """
 
 import re
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -63,26 +64,28 @@ class Sides:
             [f"{i}{end}" for size, ends in ((len(self.bytes_a), ",|"), (len(self.bytes_b), ",;")) for end in ends for i in range(size)],
             dtype=object,
         )
-        self.memory = Memory(self.encode, lambda made: sum(map(len, made)))
+        self.known = Memory(self.encode, lambda made: len(made[0]) + len(made[1])).__getitem__
         # A line end merges with nothing, so what stands behind one is encoded without a space being added.
         self.border = len(self.b.encode("\n"))
 
-    def encode(self, pieces: list[str]) -> list[tuple[bytes, bytes]]:
-        """The ids of both sides for stretches of text."""
-        b = self.b.encode(["\n" + piece for piece in pieces], num_threads=1)
-        return [(x, packed_ids(y[self.border :])) for x, y in zip(self.encode_a(pieces), b, strict=True)]
+    def encode(self, piece: str) -> tuple[bytes, bytes, bool]:
+        """The ids of both sides for a stretch of text, and whether the bytes of both are those of the text."""
+        a, b = self.encode_a(piece), packed_ids(self.b.encode("\n" + piece)[self.border :])
+        raw = piece.encode()
+        same = raw == b"".join([self.bytes_a[i] for i in array("I", a)]) == b"".join([self.bytes_b[i] for i in array("I", b)])
+        return a, b, same
 
-    def ids(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
+    def ids(self, text: str) -> tuple[bytes, bytes] | None:
         """Both sides' ids for a space and the text; None if the bytes of either are not that."""
         if SPACE in text:
             return None  # B's bytes hold a space for it
-        full = " " + text
-        pieces = stretches(full)
-        made = self.memory.all(pieces)
-        a, b = (np.frombuffer(b"".join(side), ID) for side in zip(*made, strict=True))
-        raw = full.encode()
-        same = b"".join(map(self.bytes_a.__getitem__, a.tolist())) == raw == b"".join(map(self.bytes_b.__getitem__, b.tolist()))
-        return (a, b) if same else None
+        a, b, same = zip(*map(self.known, stretches(" " + text)), strict=True)
+        a, b = b"".join(a), b"".join(b)
+        if not all(same):
+            whole = (b"".join([of[i] for i in array("I", ids)]) for of, ids in ((self.bytes_a, a), (self.bytes_b, b)))
+            if any(found != b" " + text.encode() for found in whole):
+                return None
+        return a, b
 
 
 @lru_cache(maxsize=1)
@@ -112,11 +115,11 @@ def covering(starts: np.ndarray, of: np.ndarray, others: np.ndarray, others_of:
     return pd.merge_asof(left, right, on="at", by="document")["token"].to_numpy(np.int64)
 
 
-def align(both: Sides, encoded: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple]:
+def align(both: Sides, encoded: list[tuple[bytes, bytes]]) -> list[tuple]:
     """OUTPUTS of documents that have tokens."""
     number = np.arange(len(encoded))
-    counts = [np.array([len(x[side]) for x in encoded]) for side in (0, 1)]
-    a, b = (np.concatenate([x[side] for x in encoded]).astype(np.int64) for side in (0, 1))
+    counts = [np.array([len(x[side]) // ID.itemsize for x in encoded]) for side in (0, 1)]
+    a, b = (np.frombuffer(b"".join([x[side] for x in encoded]), ID).astype(np.int64) for side in (0, 1))
     in_a, in_b = (np.repeat(number, n) for n in counts)
     # Offsets run on through the batch, so those of both sides are in order.
     end_a, end_b = np.cumsum(both.length_a[a]), np.cumsum(both.length_b[b])

@@ -11,7 +11,6 @@ import re
 from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,33 +36,24 @@ MARKS = "".join(map(chr, range(0x21, 0x7F)))  # with digits and the letters of A
 
 
 class Memory(dict):
-    """What `encode` makes of pieces, up to twice MEMORY bytes. `encode` gets a list of pieces that are all different."""
+    """What `encode` makes of a piece, remembered; about twice MEMORY bytes are held at most, by `size` of the results."""
 
-    def __init__(self, encode: Callable[[list[str]], list], size: Callable[[object], int] = len) -> None:
+    def __init__(self, encode: Callable[[str], object], size: Callable[[object], int] = len) -> None:
         super().__init__()
         self.encode, self.size, self.held = encode, size, 0
         self.old: dict = {}
 
-    def all(self, pieces: list[str]) -> list:
-        """The results for pieces, in their order."""
-        made = list(map(self.get, pieces))
-        if None not in made:
-            return made
-        if self.held > MEMORY:
-            self.old = dict(self)
-            self.clear()
-            self.held = 0
-        places = [i for i, known in enumerate(made) if known is None]
-        old = self.old
-        new = {p: old.get(p) for p in dict.fromkeys([pieces[i] for i in places])}
-        missing = [p for p, known in new.items() if known is None]
-        if missing:
-            new.update(zip(missing, self.encode(missing), strict=True))
-        kept = {p: known for p, known in new.items() if len(p) <= LONGEST}
-        self.update(kept)
-        self.held += ENTRY * len(kept) + sum(map(len, kept)) + sum(map(self.size, kept.values()))
-        for i in places:
-            made[i] = new[pieces[i]]
+    def __missing__(self, piece: str) -> object:
+        made = self.old.get(piece)
+        if made is None:
+            made = self.encode(piece)
+        if len(piece) <= LONGEST:
+            if self.held > MEMORY:
+                self.old = dict(self)
+                self.clear()
+                self.held = 0
+            self[piece] = made
+            self.held += ENTRY + len(piece) + self.size(made)
         return made
 
 
@@ -91,30 +81,26 @@ def packed_ids(ids: list[int]) -> bytes:
 
 
 class PreTokens:
-    """Ids of plain pieces by their pre-tokens, each of which the library's merges see once, and of others by the library."""
+    """Ids of plain pieces by their pre-tokens, each of which the library's merges see once, and of others by the library.
+
+    `plain` gives the text that is cut into pre-tokens, or None for a piece that is not plain.
+    """
 
     def __init__(self, tokenizer: Tokenizer, pattern: str, plain: Callable[[str], str | None]) -> None:
         self.tokenizer, self.findall, self.plain = tokenizer, re.compile(pattern).findall, plain
-        self.letters = byte_letters()
-        self.memory = Memory(self._merged)
+        self.merge, self.letters = tokenizer.model.tokenize, byte_letters()
+        self.known = Memory(self._merged).__getitem__
 
-    def _merged(self, pre_tokens: list[str]) -> list[bytes]:
-        merge, letters = self.tokenizer.model.tokenize, self.letters
+    def _merged(self, pre_token: str) -> bytes:
         # Printable ASCII characters stand for themselves, a space does not.
-        spelt = [p if p.isascii() and p[0] != " " else "".join([letters[b] for b in p.encode()]) for p in pre_tokens]
-        return [packed_ids([t.id for t in merge(p)]) for p in spelt]
-
-    def encode(self, pieces: list[str]) -> list[bytes]:
-        plain = [self.plain(piece) for piece in pieces]
-        found = [self.findall(p) if p is not None else () for p in plain]
-        ids = iter(self.memory.all([p for each in found for p in each]))
-        made = [b"".join(islice(ids, len(each))) for each in found]
-        others = [i for i, p in enumerate(plain) if p is None]
-        if others:
-            encoded = self.tokenizer.encode_batch_fast([pieces[i] for i in others], add_special_tokens=False)
-            for i, e in zip(others, encoded, strict=True):
-                made[i] = packed_ids(e.ids)
-        return made
+        if not pre_token.isascii() or pre_token[0] == " ":
+            pre_token = "".join([self.letters[b] for b in pre_token.encode()])
+        return packed_ids([t.id for t in self.merge(pre_token)])
+
+    def encode(self, piece: str) -> bytes:
+        if (text := self.plain(piece)) is not None:
+            return b"".join(map(self.known, self.findall(text)))
+        return packed_ids(self.tokenizer.encode(piece, add_special_tokens=False).ids)
 
 
 @lru_cache(maxsize=1)
@@ -132,10 +118,10 @@ def word_ids(tokenizer: str) -> Callable[[str], bytes]:
         return piece.lower() if plainly(piece) else None
 
     pattern = f"'s|'t|'re|'ve|'m|'ll|'d|[{LOWER}]+|[0-9]|[^{LOWER}0-9]+"
-    memory = Memory(PreTokens(found, pattern, plain).encode)
+    known = Memory(PreTokens(found, pattern, plain).encode).__getitem__
 
     def ids(text: str) -> bytes:
-        return b"".join(b"".join(memory.all(part.replace("\n", " ").split(" "))) for part in slices(text))
+        return b"".join([b"".join(map(known, part.replace("\n", " ").split(" "))) for part in slices(text)])
 
     return ids
 

@@ -130,10 +130,10 @@ def test_ids_equal_the_library(spark):
 
 def test_what_is_remembered_is_bounded(monkeypatch):
     monkeypatch.setattr(chunks, "MEMORY", 3_000)
-    memory = chunks.Memory(lambda pieces: [p.encode() for p in pieces])
+    memory = chunks.Memory(str.encode)
     for i in range(500):
         pieces = [f"p{i}", "often", f"p{i}", "long" * 99]
-        assert memory.all(pieces) == [p.encode() for p in pieces]
+        assert [memory[p] for p in pieces] == [p.encode() for p in pieces]
         assert len(memory) + len(memory.old) < 40
     assert "often" in memory or "often" in memory.old
 
