@@ -20,7 +20,7 @@ def parse_events(df: DataFrame, value: str = "value", zone: str = WIRE_ZONE) ->
     """Add the event columns and `bad` to every message; `bad` messages have no usable event.
 
     A message is bad if it is not a JSON object, or if its time or one of its numbers is not readable.
-    Unknown fields are ignored, absent numbers are 0.
+    Unknown fields are ignored, absent numbers are 0. Times are texts of the wire's format, or milliseconds since 1970.
     """
     raw = F.col("_raw")
     message = F.from_json(F.col(value).cast("string"), _TEXT_SCHEMA, _READ_OPTIONS)
@@ -29,7 +29,9 @@ def parse_events(df: DataFrame, value: str = "value", zone: str = WIRE_ZONE) ->
     time_text = _given(raw["timestamp"])
     rating_text = _given(raw["rating"])
     length_text = _given(raw["episodeLength"])
-    time = F.try_to_timestamp(F.concat(time_text, F.lit(zone)), F.lit(WIRE_TIME_FORMAT + "XXX"))
+    written = F.try_to_timestamp(F.concat(time_text, F.lit(zone)), F.lit(WIRE_TIME_FORMAT + "XXX"))
+    millis = F.when(time_text.rlike("^-?[0-9]{1,15}$"), time_text.cast("long"))
+    time = F.coalesce(F.timestamp_millis(millis), written)
     rating = rating_text.try_cast("double")
     length = length_text.try_cast("double")
     unreadable = (

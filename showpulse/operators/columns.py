@@ -11,6 +11,13 @@ def names(columns: str | Sequence[str]) -> list[str]:
     return [columns] if isinstance(columns, str) else list(columns)
 
 
+def whole(keys: Sequence[str]) -> Column:
+    """Whether no part of a key is null. Two keys are the same only if they are whole and equal, so a row whose key is not
+    whole is alone in its group.
+    """
+    return reduce(lambda a, b: a & b, (F.col(name).isNotNull() for name in keys), F.lit(True))
+
+
 def pick_row(df: DataFrame, keys: list, by: Sequence[str], latest: bool = False, **also: Column) -> DataFrame:
     """The whole first (or latest) row of each group as `_row`, next to the aggregates in `also`.
 

@@ -4,13 +4,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from showpulse.functions.keytext import count_key, pair_line
-from showpulse.operators.columns import names
+from showpulse.operators.columns import names, whole
 from showpulse.operators.totals import KEYS
 
 
 def count_by(df: DataFrame, keys: str | list[str] = KEYS, name: str = "total_count") -> DataFrame:
-    """Events per key. On a stream in update mode this is the running total without a reset."""
-    return df.groupBy(*names(keys)).agg(F.count(F.lit(1)).alias(name))
+    """Events per key; an event whose key has a null part is a group of its own, with the count 1. On a stream in update mode
+    this is the running total without a reset, and events with such keys are left out.
+    """
+    keys = names(keys)
+    counts = df.where(whole(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+    if df.isStreaming:
+        return counts
+    return counts.unionByName(df.where(~whole(keys)).select(*keys, F.lit(1).cast("long").alias(name)))
 
 
 def view_counts(df: DataFrame, user: str = "user_id", show: str = "show_id") -> DataFrame:
@@ -34,5 +40,7 @@ def watchers_per_show(df: DataFrame, show: str = "show_id", user: str = "user_id
 
 
 def group_count(df: DataFrame, keys: str | list[str] = KEYS) -> DataFrame:
-    """One row: how many groups the keys form."""
-    return df.select(*names(keys)).distinct().agg(F.count(F.lit(1)).alias("groups"))
+    """One row: how many groups the keys form; a row whose key has a null part is one of its own."""
+    keys = names(keys)
+    groups = df.select(*keys).where(whole(keys)).distinct().unionByName(df.select(*keys).where(~whole(keys)))
+    return groups.agg(F.count(F.lit(1)).alias("groups"))

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from showpulse.operators.blocks import ROWS_PER_BLOCK, split_groups
-from showpulse.operators.columns import attach, names
+from showpulse.operators.columns import attach, names, whole
 from showpulse.operators.latest import latest
 from showpulse.operators.visits import ordered_visits
 
@@ -18,7 +18,7 @@ def running_total(
     order: str | list[str] = "event_id",
     rows_per_block: int = ROWS_PER_BLOCK,
 ) -> DataFrame:
-    """Every event with `total_count`, the number of events of its key so far."""
+    """Every event with `total_count`, the number of events of its key so far: 1 where the key has a null part."""
     keys, at = names(keys), [ts, *names(order)]
     blocks = split_groups(df, keys, at, rows_per_block)
     earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
@@ -31,7 +31,8 @@ def running_total(
     )
     in_block = Window.partitionBy(*keys, "_block").orderBy(*at)
     total = F.row_number().over(in_block) + F.coalesce("_before", F.lit(0))
-    return attach(blocks.rows, before, [*keys, "_block"]).select(*df.columns, total.cast("long").alias("total_count"))
+    own = F.when(whole(keys), total).otherwise(F.lit(1)).cast("long")
+    return attach(blocks.rows, before, [*keys, "_block"]).select(*df.columns, own.alias("total_count"))
 
 
 def running_total_idle(
@@ -44,10 +45,11 @@ def running_total_idle(
 ) -> DataFrame:
     """Every event with `total_count`, the number of events of its key since the key was last idle longer than `gap`.
 
-    Events without a time are not counted and have no total.
+    Events without a time are not counted and have no total; of other events, those whose key has a null part have 1.
     """
     visits = ordered_visits(df, keys, ts, order, gap, rows_per_block)
-    return visits.select(*df.columns, F.col("_nth").alias("total_count"))
+    own = F.when(whole(names(keys)) | F.col("_nth").isNull(), F.col("_nth")).otherwise(F.lit(1).cast("long"))
+    return visits.select(*df.columns, own.alias("total_count"))
 
 
 def running_total_updates(

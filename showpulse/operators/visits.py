@@ -43,17 +43,7 @@ def ordered_visits(
 
     An event without a time belongs to no visit: both are null, and other events are numbered as if it were not there.
     """
-    untimed = df.where(F.col(ts).isNull()).select(
-        "*", F.lit(None).cast("boolean").alias("_starts"), F.lit(None).cast("long").alias("_nth")
-    )
-    return _timed_visits(df.where(F.col(ts).isNotNull()), names(keys), ts, names(order), gap, rows_per_block).unionByName(
-        untimed
-    )
-
-
-def _timed_visits(
-    df: DataFrame, keys: list[str], ts: str, order: list[str], gap: str, rows_per_block: int
-) -> DataFrame:
+    keys, order = names(keys), names(order)
     blocks = split_groups(df, keys, [ts, *order], rows_per_block)
 
     # What the first event of a block inherits: whether it starts a visit, and how long the visit already is.
@@ -71,7 +61,9 @@ def _timed_visits(
         .select(*keys, "_block", F.col("_starts").alias("_block_starts"), "_before")
     )
 
-    in_block = Window.partitionBy(*keys, "_block").orderBy(ts, *order)
+    # Events without a time come first in their key; here they are a group of their own.
+    timed = F.col(ts).isNotNull()
+    in_block = Window.partitionBy(*keys, "_block", timed).orderBy(ts, *order)
     so_far = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     starts = F.when(F.col("_at") == 1, F.coalesce("_block_starts", F.lit(True))).otherwise(
         exceeds(F.col(ts), F.col("_previous"), gap)
@@ -83,5 +75,5 @@ def _timed_visits(
         .withColumn("_previous", F.lag(ts).over(in_block))
         .withColumn("_starts", starts)
         .withColumn("_nth", F.col("_at") + 1 - F.coalesce(first_of_visit, 1 - F.col("_before")))
-        .select(*df.columns, "_starts", F.col("_nth").cast("long").alias("_nth"))
+        .select(*df.columns, F.when(timed, F.col("_starts")).alias("_starts"), F.when(timed, F.col("_nth").cast("long")).alias("_nth"))
     )

@@ -5,15 +5,15 @@ The table plays a stream of views: `event_type` is the show, `value` the rating,
 
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from showpulse.functions import codec, keytext
 from showpulse.operators import counts, dedup, totals, views, windows
 from showpulse.plans.jobs import batch_job, streaming_job
-from showpulse.sources.files import file_events, stored_views
+from showpulse.sources.files import file_events
 from showpulse.sources.shared import settled, shared_folder
-from showpulse.streaming import native, sinks, stateful
+from showpulse.streaming import native, sinks, stateful, tables
 
 HOUR = "1 hour"
 SMALL_BLOCK = 100  # rows: cuts the keys of small tables into blocks too
@@ -147,6 +147,26 @@ def total_rows(spark, sf_dir):
     return views.traffic_rows(updates, F.col("batch_start"))
 
 
+def keyless_sightings(spark, sf_dir):
+    """Every 5th event loses its show, every 7th its user."""
+    return sightings(spark, sf_dir).withColumns(
+        {
+            "show_id": F.when(F.col("event_id") % 5 != 0, F.col("show_id")),
+            "user_id": F.when(F.col("event_id") % 7 != 0, F.col("user_id")),
+        }
+    )
+
+
+def null_key_counts(spark, sf_dir):
+    return counts.count_by(keyless_sightings(spark, sf_dir))
+
+
+def null_key_totals(spark, sf_dir):
+    events = keyless_sightings(spark, sf_dir)
+    idle = totals.running_total_idle(events).select("event_id", F.col("total_count").alias("idle_count"))
+    return totals.running_total(events).join(idle, "event_id")
+
+
 # --- windows ------------------------------------------------------------------------------------------------------
 
 
@@ -325,14 +345,15 @@ def upserts_of(spark: SparkSession, sf_dir: str, of: Callable[[DataFrame], DataF
     return plain_times(sinks.upserted(spark, f"{folder}/table", keys).drop("batch_id"))
 
 
-def stream_idle_gate(spark, sf_dir):
+def stored_of(spark: SparkSession, sf_dir: str, of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Run a stream in append mode into a table of batches, and read the table."""
     folder = shared_folder(spark)
+    drained(spark, sf_dir, folder, of, "append", lambda batch, batch_id: tables.write_batch(batch, batch_id, f"{folder}/table"))
+    return spark.read.parquet(f"{folder}/table").drop("batch_id")
 
-    def store(batch: DataFrame, batch_id: int) -> None:
-        sinks.write_batch(batch, batch_id, f"{folder}/table")
 
-    drained(spark, sf_dir, folder, lambda events: stateful.idle_gate_stream(sightings_of(events)), "append", store)
-    return plain_times(spark.read.parquet(f"{folder}/table").drop("batch_id"))
+def stream_idle_gate(spark, sf_dir):
+    return plain_times(stored_of(spark, sf_dir, lambda events: stateful.idle_gate_stream(sightings_of(events))))
 
 
 def stream_running_total_idle(spark, sf_dir):
@@ -340,16 +361,57 @@ def stream_running_total_idle(spark, sf_dir):
     return upserts_of(spark, sf_dir, lambda events: stateful.running_total_idle_stream(sightings_of(events)), keys)
 
 
+def stream_day_streaks(spark, sf_dir):
+    return upserts_of(spark, sf_dir, lambda events: stateful.day_streaks_stream(sightings_of(events)), ["user_id"])
+
+
 def stream_total(spark, sf_dir):
     keys = ["user_id", "show_id"]
     return upserts_of(spark, sf_dir, lambda events: native.running_total_stream(sightings_of(events)), keys)
 
 
+def stream_total_updates(spark, sf_dir):
+    """What each part of the stream emits: one row for each key that occurs in it, and none for others."""
+    folder = shared_folder(spark)
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        sinks.upsert_log(batch, batch_id, f"{folder}/table")
+
+    drained(spark, sf_dir, folder, lambda events: native.running_total_stream(sightings_of(events)), "update", store)
+    log = spark.read.parquet(f"{folder}/table/log")
+    # Triggers without events have batch numbers too, so parts are numbered in the order of the batches that have rows.
+    numbered = log.select("batch_id").distinct().withColumn(
+        "part", F.row_number().over(Window.orderBy("batch_id")).cast("long") - 1
+    )  # PIECES rows
+    return log.join(F.broadcast(numbered), "batch_id").drop("batch_id")
+
+
 def stream_sliding_counts(spark, sf_dir):
-    def sliding(events: DataFrame) -> DataFrame:
-        return windows.sliding_counts(sightings_of(events).withWatermark("ts", "0 seconds"))
+    def panes(events: DataFrame) -> DataFrame:
+        return windows.pane_counts(sightings_of(events).withWatermark("ts", "0 seconds"))
+
+    return windows.sliding_from_panes(upserts_of(spark, sf_dir, panes, sinks.PANE))
+
 
-    return upserts_of(spark, sf_dir, sliding, ["user_id", "show_id", "window_start"])
+def stream_watchers_per_window(spark, sf_dir):
+    def first_sightings(events: DataFrame) -> DataFrame:
+        return windows.pane_watchers(sightings_of(events), lateness="0 seconds")
+
+    return plain_times(windows.watchers_from_panes(stored_of(spark, sf_dir, first_sightings)))
+
+
+def stream_watchers_sketched(spark, sf_dir):
+    """Watchers per show from stored sketches of each show and date; the raw events are not read again."""
+    folder = shared_folder(spark)
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        dated = batch.withColumn("record_date", keytext.record_date(F.col("ts")))
+        sinks.append_sketches(dated, batch_id, f"{folder}/watchers")
+        if batch_id == 1:
+            sinks.merge_sketches(spark, f"{folder}/watchers")
+
+    drained(spark, sf_dir, folder, sightings_of, "append", store)
+    return sinks.read_watchers(spark, f"{folder}/watchers")
 
 
 def stream_first_per_batch(spark, sf_dir):
@@ -367,7 +429,34 @@ def stream_view_store(spark, sf_dir):
         sinks.append_views(batch, batch_id, f"{folder}/view", written_at=F.col("event_time"))
 
     drained(spark, sf_dir, folder, as_watch_events, "append", store)
-    return flat_views(stored_views(spark, f"{folder}/view"))
+    return flat_views(sinks.stored_views(spark, f"{folder}/view"))
+
+
+def stream_view_store_merged(spark, sf_dir):
+    """As `stream_view_store`, with the batches merged by date twice on the way, and some batches after that."""
+    folder = shared_folder(spark)
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        sinks.append_views(batch, batch_id, f"{folder}/view", written_at=F.col("event_time"))
+        if batch_id < 2:
+            sinks.merge_views(spark, f"{folder}/view")
+
+    drained(spark, sf_dir, folder, as_watch_events, "append", store)
+    return flat_views(sinks.stored_views(spark, f"{folder}/view"))
+
+
+def view_stamps(spark, sf_dir):
+    """How many views are stored, and how many with a time of writing that lies within the run."""
+    folder = shared_folder(spark)
+    begun = spark.range(1).select(F.current_timestamp()).first()[0]
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        sinks.append_views(batch, batch_id, f"{folder}/view")
+
+    drained(spark, sf_dir, folder, as_watch_events, "append", store)
+    within = F.col("written_at").between(F.lit(begun), F.current_timestamp())
+    named = F.col("row_key") == keytext.view_key(F.col("userDetails.userId"), F.col("written_at"))
+    return sinks.stored_views(spark, f"{folder}/view").agg(F.count(F.lit(1)).alias("views"), F.count_if(within & named).alias("stamped"))
 
 
 def job_tables(spark, sf_dir, backwards: bool = False, **options) -> str:
@@ -380,15 +469,14 @@ def job_tables(spark, sf_dir, backwards: bool = False, **options) -> str:
 
 
 def job_totals(spark, sf_dir):
-    folder = job_tables(spark, sf_dir, clock="event", lateness="0 seconds")
+    folder = job_tables(spark, sf_dir, clock="event", lateness="0 seconds", merge_every=2)
     rows = sinks.read_totals(spark, f"{folder}/total_traffic", ["user_id"])
     return plain_times(rows.select("user_id", "show_id", "visit_start", "total_count"))
 
 
 def job_windows(spark, sf_dir):
     keys = ["user_id", "show_id"]
-    folder = job_tables(spark, sf_dir, clock="event", lateness="0 seconds")
-    sinks.compact(spark, f"{folder}/window_traffic", [*keys, "window_start"], "window_end")
+    folder = job_tables(spark, sf_dir, clock="event", lateness="0 seconds", merge_every=2)
     rows = sinks.read_windows(spark, f"{folder}/window_traffic", keys)
     return plain_times(rows.select(*keys, "window_end", "total_count"))
 
@@ -396,7 +484,7 @@ def job_windows(spark, sf_dir):
 def job_late_events(spark, sf_dir):
     """Newest events first, by arrival: how often each user and show is stored, and counted over all visits."""
     folder = job_tables(spark, sf_dir, backwards=True, gated=False)
-    stored = counts.count_by(views.views_to_events(stored_views(spark, f"{folder}/view")), name="stored")
+    stored = counts.count_by(views.views_to_events(sinks.stored_views(spark, f"{folder}/view")), name="stored")
     visits = sinks.upserted(spark, f"{folder}/total_traffic", ["user_id", "show_id", "visit_start"], "visit_end")
     counted = visits.groupBy("user_id", "show_id").agg(F.sum("total_count").alias("counted"))
     return stored.join(counted, ["user_id", "show_id"], "full")
@@ -406,7 +494,7 @@ def job_batch_counts(spark, sf_dir):
     """Store the views, then count them with the batch job; the text lines it writes."""
     folder = shared_folder(spark)
     rows = views.view_rows(watch_events(spark, sf_dir), F.col("event_time"))
-    sinks.write_batch(rows, 0, f"{folder}/view", partition_by=["record_date"])
+    tables.append_batch(rows, 0, f"{folder}/view", [sinks.DATE])
     batch_job(spark, f"{folder}/view", folder)
     return spark.read.text(f"{folder}/batchResult.txt")
 
@@ -488,7 +576,23 @@ _JOB_GATE = f"""{_WATCH}, s AS (SELECT event_id, user_id, show_id, date_trunc('s
 {_GATE_OF_S}"""
 _VISIT_TOTALS = """visit_totals AS (SELECT user_id, show_id, min(ts) AS visit_start, max(ts) AS visit_end,
     count(*) AS total_count FROM idle GROUP BY user_id, show_id, v)"""
+_WATCHERS_PER_SHOW_SQL = "SELECT event_type AS show_id, count(DISTINCT user_id) AS watchers FROM events GROUP BY event_type"
 _SLIDING_SQL = f"WITH {_SIGHTINGS}, {_windows('s')} SELECT * FROM sliding"
+_WATCHERS_SQL = f"""WITH {_SIGHTINGS}, {_windows("s")} SELECT show_id, window_start, window_end,
+    count(DISTINCT user_id) AS watchers FROM windowed GROUP BY ALL"""
+# Runs of days: a day less its place among the user's days is the same for all days of a run.
+_STREAKS_SQL = """WITH days AS (SELECT DISTINCT user_id, CAST(floor(epoch_us(ts) / 86400000000) AS BIGINT) AS d FROM events),
+runs AS (SELECT user_id, max(d) AS newest, count(*) AS n FROM
+    (SELECT user_id, d, d - row_number() OVER (PARTITION BY user_id ORDER BY d) AS run FROM days) GROUP BY user_id, run)
+SELECT user_id, max_by(n, newest) AS days, max(n) AS longest_days FROM runs GROUP BY user_id"""
+_KEYLESS = """k AS (SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN user_id END AS user_id,
+    CASE WHEN event_id % 5 <> 0 THEN event_type END AS show_id, ts FROM events),
+s AS (SELECT * FROM k WHERE user_id IS NOT NULL AND show_id IS NOT NULL),
+alone AS (SELECT * FROM k WHERE user_id IS NULL OR show_id IS NULL)"""
+# Parts as `parts_by_time` cuts them.
+_PARTS = f"""bounds AS (SELECT min(epoch_us(ts)) AS a, CAST(round((max(epoch_us(ts)) - min(epoch_us(ts))) / {PIECES}.0) AS BIGINT) AS step
+    FROM events), parts AS (SELECT user_id, event_type AS show_id, ts,
+    least((epoch_us(ts) - a) // step, {PIECES - 1}) AS part FROM events, bounds)"""
 
 # Each query with its SQL.
 QUERIES = {
@@ -529,6 +633,18 @@ UNION ALL SELECT event_id, user_id, show_id, ts, NULL FROM whole WHERE ts IS NUL
         running_total_idle_split,
         f"WITH {_SIGHTINGS}, {_idle_total('s')} SELECT event_id, user_id, show_id, ts, total_count FROM idle",
     ),
+    "null_key_counts": (
+        null_key_counts,
+        f"""WITH {_KEYLESS} SELECT user_id, show_id, count(*) AS total_count FROM s GROUP BY ALL
+UNION ALL SELECT user_id, show_id, 1 FROM alone""",
+    ),
+    "null_key_totals": (
+        null_key_totals,
+        f"""WITH {_KEYLESS}, {_idle_total("s")}
+SELECT event_id, user_id, show_id, ts, total_count AS idle_count, count(*) OVER (PARTITION BY user_id, show_id
+    ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS total_count FROM idle
+UNION ALL SELECT event_id, user_id, show_id, ts, 1, 1 FROM alone""",
+    ),
     "running_total_updates": (running_total_updates, f"WITH {_updates(3600)} SELECT * FROM updates"),
     "batch_totals_5s": (batch_totals_5s, f"WITH {_updates(5)} SELECT * FROM updates"),
     "first_per_batch": (first_per_batch, _FIRST_PER_HOUR_SQL),
@@ -548,11 +664,7 @@ UNION ALL SELECT event_id, user_id, show_id, ts, NULL FROM whole WHERE ts IS NUL
         f"""WITH {_WINDOW_LATEST} SELECT user_id, show_id, total_count, window_end AS time_stamp,
     strftime(window_end, '%Y-%m-%d') AS record_date, concat(user_id, '=>', show_id) AS row_key FROM newest WHERE n = 1""",
     ),
-    "watchers_per_window": (
-        watchers_per_window,
-        f"""WITH {_SIGHTINGS}, {_windows("s")} SELECT show_id, window_start, window_end,
-    count(DISTINCT user_id) AS watchers FROM windowed GROUP BY ALL""",
-    ),
+    "watchers_per_window": (watchers_per_window, _WATCHERS_SQL),
     "total_latest_by_user": (
         total_latest_by_user,
         f"""WITH {_RUNNING}, newest AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC)
@@ -610,10 +722,7 @@ FROM events GROUP BY user_id, event_type""",
         views_per_show,
         "SELECT event_type AS show_id, count(*) AS views FROM events GROUP BY event_type",
     ),
-    "watchers_per_show": (
-        watchers_per_show,
-        "SELECT event_type AS show_id, count(DISTINCT user_id) AS watchers FROM events GROUP BY event_type",
-    ),
+    "watchers_per_show": (watchers_per_show, _WATCHERS_PER_SHOW_SQL),
     "json_roundtrip": (
         json_roundtrip,
         f"""WITH {_WATCH} SELECT user_id, user_gender, season, episode, show_id,
@@ -640,9 +749,21 @@ FROM events GROUP BY ALL""",
         stream_total,
         "SELECT user_id, event_type AS show_id, count(*) AS total_count FROM events GROUP BY ALL",
     ),
+    "stream_day_streaks": (stream_day_streaks, _STREAKS_SQL),
+    "stream_total_updates": (
+        stream_total_updates,
+        f"""WITH {_PARTS}, counted AS (SELECT part, user_id, show_id, count(*) AS n FROM parts GROUP BY ALL)
+SELECT part, user_id, show_id, CAST(sum(n) OVER (PARTITION BY user_id, show_id ORDER BY part) AS BIGINT) AS total_count
+FROM counted""",
+    ),
     "stream_sliding_counts": (stream_sliding_counts, _SLIDING_SQL),
+    "stream_watchers_per_window": (stream_watchers_per_window, _WATCHERS_SQL),
+    # Sketches list up to 1,536 users of a show before they estimate.
+    "stream_watchers_sketched": (stream_watchers_sketched, _WATCHERS_PER_SHOW_SQL),
     "stream_first_per_batch": (stream_first_per_batch, _FIRST_PER_HOUR_SQL),
     "stream_view_store": (stream_view_store, _VIEW_ROWS_SQL),
+    "stream_view_store_merged": (stream_view_store_merged, _VIEW_ROWS_SQL),
+    "view_stamps": (view_stamps, "SELECT count(*) AS views, count(*) AS stamped FROM events"),
     "job_totals": (
         job_totals,
         f"""WITH {_JOB_GATE}, {_idle_total("gate")}, {_VISIT_TOTALS}, newest AS (SELECT *, row_number() OVER (

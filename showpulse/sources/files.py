@@ -1,10 +1,10 @@
-"""Files of messages, events and stored views."""
+"""Files of messages and events."""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from showpulse.functions.schema import EVENT, VIEW
+from showpulse.functions.schema import EVENT
 
 
 def file_events(
@@ -21,15 +21,6 @@ def file_events(
     return reader.load(path)
 
 
-def stored_views(spark: SparkSession, path: str) -> DataFrame:
-    """All stored views of finished batches. Readers that use few columns, or few dates, load no more than those."""
-    batches = finished(spark, path)
-    if not batches:
-        return spark.createDataFrame([], VIEW)
-    folders = [f"{path}/batch_id={batch}" for batch in batches]
-    return spark.read.schema(VIEW).option("basePath", path).parquet(*folders)
-
-
 def finished(spark: SparkSession, folder: str) -> list[int]:
     """Numbers of the `name=number` folders whose write has finished."""
     done = file_system(spark, folder).globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/*/_SUCCESS"))

@@ -1,18 +1,22 @@
-"""Tables that streams write: stored views, and upserts as a log of batches.
-
-A batch writes to its own `batch_id=N` folder and replaces it when it is retried, so each batch counts once.
-Batch numbers start over with a new checkpoint; give a new checkpoint a new table path.
-"""
+"""What streams store: views by date, upserts by key bucket, sketches of watchers, lines of counts."""
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from showpulse.functions.schema import VIEW
+from showpulse.operators import sketches
 from showpulse.operators.columns import names
 from showpulse.operators.counts import pair_lines
 from showpulse.operators.latest import latest
 from showpulse.operators.views import REQUIRED, last_per_second, split_storable, view_rows
-from showpulse.sources.files import file_system, finished
+from showpulse.operators.windows import LENGTH, SLIDE, pane_ends, sliding_from_panes
+from showpulse.streaming import tables
+
+DATE = "record_date"
+BUCKET = "key_bucket"
+BUCKETS = 64
+"""Key buckets of an upsert table; a merge writes those whose keys have changed."""
 
 
 def append_views(
@@ -35,20 +39,28 @@ def append_views(
     stored, lacking = split_storable(df, required)
     if dedup == "user_second":
         stored = last_per_second(stored, "user_id", ts, order)
-    write_batch(view_rows(stored, written_at), batch_id, path, partition_by=["record_date"])
+    tables.append_batch(view_rows(stored, written_at), batch_id, path, [DATE])
     if rejected is not None:
-        write_batch(lacking, batch_id, rejected)
+        tables.write_batch(lacking, batch_id, rejected)
+
+
+def stored_views(spark: SparkSession, path: str, dates: list[str] | None = None) -> DataFrame:
+    """Stored views of finished batches; with `dates`, of these dates, for which only their folders are listed.
+
+    Readers that use few columns load no more than those.
+    """
+    found = tables.rows(spark, path, DATE, VIEW, dates)
+    return spark.createDataFrame([], VIEW) if found is None else found
 
 
-def write_batch(df: DataFrame, batch_id: int, path: str, partition_by: list[str] | None = None) -> None:
-    """Write one batch in files of even size: neither one per task and date, nor one huge file for a large date."""
-    by = partition_by or []
-    df.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(f"{path}/batch_id={batch_id}")
+def merge_views(spark: SparkSession, path: str) -> None:
+    """Move finished batches of views into one folder per date; only dates that they touch are written."""
+    tables.merge(spark, path, DATE, lambda rows: rows, schema=VIEW)
 
 
 def upsert_log(df: DataFrame, batch_id: int, path: str) -> None:
     """Add a batch of upserts to the table at `path`."""
-    write_batch(df, batch_id, f"{path}/log")
+    tables.append_batch(df, batch_id, path)
 
 
 def upserted(
@@ -57,61 +69,86 @@ def upserted(
     """The table at `path`: the last row of each key by `order`, of equals the one of the last batch.
 
     `order` is the order of the rows of a key within the table, say its window or visit; rows of one key and order are
-    versions of each other, the newest of which is in the newest batch. It reads the newest base and the batches after it.
+    versions of each other, the newest of which is in the newest batch.
     """
-    base, batches = _base_and_batches(spark, path)
-    parts = []
-    if base is not None:
-        parts.append(spark.read.parquet(f"{path}/base/upto={base}"))
-    if batches:
-        folders = [f"{path}/log/batch_id={batch}" for batch in batches]
-        log = spark.read.option("basePath", f"{path}/log").parquet(*folders)
-        parts.append(log.withColumn("batch_id", F.col("batch_id").cast("long")))
-    if not parts:
+    rows = tables.rows(spark, path, BUCKET)
+    if rows is None:
         raise ValueError(f"no complete batch at {path}")
-    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return _latest(rows, keys, order)
+
+
+def _latest(rows: DataFrame, keys: str | list[str], order: str | list[str]) -> DataFrame:
     return latest(rows, keys, [*(name for name in names(order) if name != "batch_id"), "batch_id"])
 
 
+def merge_upserts(
+    spark: SparkSession, path: str, keys: str | list[str], order: str | list[str] = "batch_id", buckets: int = BUCKETS
+) -> None:
+    """Move finished batches of upserts into key buckets, where only the last row of each key stays. Buckets without new rows
+    are neither read nor written; `buckets` must stay the same.
+
+    `keys` must be those of the table: if one batch holds two rows of a key, one of them would be lost, so that is an error.
+    """
+    key_names = names(keys)
+
+    def check(new: DataFrame) -> None:
+        if new.groupBy("batch_id", *key_names).count().where("count > 1").take(1):
+            raise ValueError(f"{key_names} are not the whole key of {path}")
+
+    def place(rows: DataFrame) -> DataFrame:
+        return rows.withColumn(BUCKET, F.pmod(F.xxhash64(*key_names), F.lit(buckets)).cast("int"))
+
+    tables.merge(spark, path, BUCKET, lambda rows: _latest(rows, keys, order), place, check)
+
+
 def read_totals(spark: SparkSession, path: str, keys: str | list[str] = ("user_id", "show_id")) -> DataFrame:
     """The newest visit of each key with its newest total; for users alone, of the show whose visit began last."""
     return upserted(spark, path, keys, ["visit_start", "show_id", "visit_end"])
 
 
-def read_windows(spark: SparkSession, path: str, keys: str | list[str] = ("user_id", "show_id")) -> DataFrame:
-    """The newest window of each key with its newest count."""
-    return upserted(spark, path, keys, ["window_end", "show_id"])
+PANE = ["user_id", "show_id", "window_start"]
+"""The whole key of a table of panes."""
 
 
-def compact(
-    spark: SparkSession, path: str, keys: str | list[str], order: str | list[str] = "batch_id", purge: bool = False
-) -> None:
-    """Write the current rows as the new base, so that readers skip the batches it covers.
+def read_windows(
+    spark: SparkSession, path: str, keys: str | list[str] = ("user_id", "show_id"), length: str = LENGTH
+) -> DataFrame:
+    """The newest window of each key with its newest count, from a table of panes.
 
-    `keys` must be those of the table: if one batch holds two rows of a key, a base would lose one of them, so that is an
-    error. `purge` then deletes these batches and older bases; readers that already planned to read them will fail.
+    A key's newest window begins with its newest pane, beyond which it has no event, so the pane's count is the window's.
     """
-    base, batches = _base_and_batches(spark, path)
-    if not batches:
-        return
-    upto = max(batches)
-    folders = [f"{path}/log/batch_id={batch}" for batch in batches]
-    log = spark.read.option("basePath", f"{path}/log").parquet(*folders)
-    if log.groupBy("batch_id", *names(keys)).count().where("count > 1").take(1):
-        raise ValueError(f"{names(keys)} are not the whole key of {path}")
-    upserted(spark, path, keys, order).write.mode("overwrite").parquet(f"{path}/base/upto={upto}")
-    if purge:
-        old = [f"{path}/log/batch_id={batch}" for batch in batches]
-        if base is not None:
-            old.append(f"{path}/base/upto={base}")
-        for folder in old:
-            file_system(spark, folder).delete(spark._jvm.org.apache.hadoop.fs.Path(folder), True)
-
-
-def _base_and_batches(spark: SparkSession, path: str) -> tuple[int | None, list[int]]:
-    """The newest complete base, and the complete batches after it."""
-    base = max(finished(spark, f"{path}/base"), default=None)
-    return base, sorted(batch for batch in finished(spark, f"{path}/log") if base is None or batch > base)
+    return pane_ends(upserted(spark, path, keys, ["window_start", "show_id"]), length)
+
+
+def read_sliding(
+    spark: SparkSession,
+    path: str,
+    keys: str | list[str] = ("user_id", "show_id"),
+    length: str = LENGTH,
+    slide: str = SLIDE,
+) -> DataFrame:
+    """All windows of each key, put together from a table of panes."""
+    return sliding_from_panes(upserted(spark, path, [*names(keys), "window_start"]), keys, length, slide)
+
+
+def append_sketches(
+    df: DataFrame, batch_id: int, path: str, show: str = "show_id", user: str = "user_id", date: str = DATE
+) -> None:
+    """Store one sketch of the users of each show and date of a batch."""
+    by_date = sketches.watcher_sketches(df, [show, date], user)
+    tables.append_batch(by_date.withColumnRenamed(show, "show_id").withColumnRenamed(date, DATE), batch_id, path, [DATE])
+
+
+def merge_sketches(spark: SparkSession, path: str) -> None:
+    """Move finished batches into one folder per date, with one sketch per show."""
+    tables.merge(spark, path, DATE, lambda rows: sketches.united(rows, ["show_id", DATE]), schema=sketches.STORED)
+
+
+def read_watchers(spark: SparkSession, path: str, dates: list[str] | None = None) -> DataFrame:
+    """Watchers per show, on `dates` or ever, from the sketches alone; see `sketches` for how far they may be off."""
+    found = tables.rows(spark, path, DATE, sketches.STORED, dates)
+    stored = spark.createDataFrame([], sketches.STORED) if found is None else found
+    return sketches.watchers(stored, ["show_id"])
 
 
 def write_pairs_text(df: DataFrame, key: str, count: str, path: str) -> None:

@@ -1,118 +1,36 @@
-"""The idle gate and the running total with idle reset, as stateful stream operators.
-
-State is the last sighting of a key, and for totals also the start and size of its visit. Keys are kept in buckets by their
-hash, so that one call of a state function handles all keys of a bucket in a micro-batch; a key is given up once it has been
-idle for the gap, by the next call of its bucket, and a bucket when all its keys are. `clock` says what idle means: "event"
-compares event times, with a watermark of `lateness`; "processing" also gives up state by the wall clock, for streams whose
-time column is the arrival time. A bucket with events is written anew as a whole, so `buckets` weighs calls against the size
-of a state row; it must stay the same as long as a checkpoint is used.
+"""The idle gate, the running total with idle reset and streaks of days: uses of keyed state.
 
 An event older than the last sighting is a repeat: it starts no visit and does not move the last sighting back.
 Events behind the watermark are dropped by Spark before they get here.
 """
 
-from collections.abc import Iterable, Iterator
-
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from showpulse.functions.durations import micros
 from showpulse.operators.columns import names
 from showpulse.operators.totals import KEYS
-from showpulse.streaming.slots import slot_rows
+from showpulse.streaming.keyed import PAGES, Arrays, stateful_map
+from showpulse.streaming.slots import one_per_slot, slot_rows
 
-BUCKETS = 256
-"""Groups of keys that share a state row, and the most tasks that can share the work: give a large cluster several times its
-shuffle partitions. With 10 million live keys a row of 256 holds about 40,000 of them."""
-ROWS_AT_ONCE = 200_000
-"""Slot rows of a bucket that are held before they are reduced to one row per key and slot."""
 NEVER = np.iinfo(np.int64).min
+DAY = 24 * 3600 * 1_000_000
 
 
-def _forget_when_idle(state: GroupState, last: int, gap: int, clock: str) -> None:
-    if clock == "processing":
-        state.setTimeoutDuration(max(gap // 1000, 1))
-    else:
-        state.setTimeoutTimestamp(max((last + gap) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
-
-
-def _live(last: np.ndarray, state: GroupState, gap: int, clock: str) -> np.ndarray:
-    """Which keys may still have their visit continued."""
-    now = state.getCurrentProcessingTimeMs() if clock == "processing" else state.getCurrentWatermarkMs()
-    return (last + gap) // 1000 + 1 >= now
-
-
-def _timeout(clock: str) -> str:
-    return {"event": GroupStateTimeout.EventTimeTimeout, "processing": GroupStateTimeout.ProcessingTimeTimeout}[clock]
-
-
-def _in_buckets(slots: DataFrame, keys: list[str], buckets: int, clock: str, lateness: str):
-    """Slot rows grouped by bucket, with their keys as `_key`."""
-    packed = slots.select(
-        F.struct(*keys).alias("_key"),
-        F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias("_bucket"),
-        *(name for name in slots.columns if name not in keys),
-        F.timestamp_micros("_last").alias("_clock"),
-    )
-    timed = packed.withWatermark("_clock", lateness) if clock == "event" else packed
-    return timed.groupBy("_bucket")
-
-
-def _fields(value) -> tuple:
-    return tuple(value.values()) if isinstance(value, dict) else tuple(value)
-
-
-class Keys(dict):
-    """Numbers for keys, in the order they were first met."""
-
-    def __missing__(self, key: tuple) -> int:
-        self[key] = n = len(self)
-        return n
-
-
-def _ordered(frames: Iterable[pd.DataFrame], keys: Keys, width: int, order: list[str]) -> pd.DataFrame:
-    """The slot rows of a bucket by key number (`code`) and time, reduced now and then so that few are held."""
-    held: list[pd.DataFrame] = []
-    rows = 0
-    for frame in frames:
-        part = frame[["_first", "_last", "_events", *(["_row"] if order else [])]].copy()
-        part["code"] = [keys[_fields(key)] for key in frame["_key"]]
-        for name in order:
-            part[f"by_{name}"] = pd.Series([row[name] for row in frame["_row"]], part.index, dtype=object)
-        held.append(part)
-        rows += len(part)
-        if rows > ROWS_AT_ONCE:
-            held = [_one_per_slot(_sorted(held, order), width)]
-            # What is left may be many rows; the next reduction waits for as many again.
-            rows = 0
-    return _sorted(held, order)
-
-
-def _sorted(parts: list[pd.DataFrame], order: list[str]) -> pd.DataFrame:
-    whole = pd.concat(parts, ignore_index=True)
-    return whole.sort_values(["code", "_first", *(f"by_{name}" for name in order)], na_position="first", ignore_index=True)
-
-
-def _one_per_slot(ordered: pd.DataFrame, width: int) -> pd.DataFrame:
-    groups = ordered.groupby(["code", ordered["_first"] // width], sort=False)
-    first = ~ordered.assign(slot=ordered["_first"] // width).duplicated(["code", "slot"])
-    kept = ordered[first].copy()
-    kept["_last"], kept["_events"] = groups["_last"].max().to_numpy(), groups["_events"].sum().to_numpy()
-    return kept
-
-
-def _visit_starts(ordered: pd.DataFrame, known: np.ndarray, width: int) -> np.ndarray:
-    """Whether each slot row starts a visit, given the last sighting of each key or NEVER."""
-    codes = ordered["code"].to_numpy()
-    before = ordered.groupby("code", sort=False)["_last"].cummax().to_numpy()
-    fresh = np.append(True, codes[1:] != codes[:-1])
-    earlier = np.where(fresh, NEVER, np.append(NEVER, before[:-1]))
-    previous = np.maximum(earlier, known[codes])
-    return (previous == NEVER) | (ordered["_first"].to_numpy() - np.where(previous == NEVER, 0, previous) > width)
+def visit_starts(rows: Arrays, states: Arrays, width: int) -> np.ndarray:
+    """Whether each slot row starts a visit, given when its key was last seen."""
+    key, last = rows["key"], rows["_last"]
+    n = len(key)
+    # The latest time so far within each key, by places in the order of times.
+    by = np.argsort(last, kind="stable")
+    place = np.empty(n, np.int64)
+    place[by] = np.arange(n)
+    so_far = last[by][np.maximum.accumulate(place + key * n) - key * n]
+    fresh = np.append(True, key[1:] != key[:-1])
+    earlier = np.where(fresh, NEVER, np.append(NEVER, so_far[:-1]))
+    previous = np.maximum(earlier, np.where(states["known"], states["seen"], NEVER)[key])
+    return (previous == NEVER) | (rows["_first"] - np.where(previous == NEVER, 0, previous) > width)
 
 
 def idle_gate_stream(
@@ -123,41 +41,20 @@ def idle_gate_stream(
     gap: str = "3600 seconds",
     clock: str = "event",
     lateness: str = "0 seconds",
-    buckets: int = BUCKETS,
+    pages: int = PAGES,
 ) -> DataFrame:
     """Events of users not seen for longer than `gap`, as a stream in append mode."""
-    order = names(order)
-    width = micros(gap)
-
-    def gate(_: tuple, frames: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        keys = Keys()
-        stored = state.get if state.exists else ([], [])
-        for key in stored[0]:
-            keys[_fields(key)]
-        ordered = _ordered(frames, keys, width, order)
-        known = np.full(len(keys), NEVER)
-        known[: len(stored[1])] = stored[1]
-        passed = ordered.loc[_visit_starts(ordered, known, width), "_row"]
-        np.maximum.at(known, ordered["code"].to_numpy(), ordered["_last"].to_numpy())
-        live = _live(known, state, width, clock)
-        state.update(([key for key, keep in zip(keys, live) if keep], known[live].tolist()))
-        _forget_when_idle(state, int(known.max()), width, clock)
-        if len(passed):
-            yield passed.to_frame().reset_index(drop=True)
+    order, width, columns = names(order), micros(gap), df.columns
+
+    def gate(keys: Arrays, rows: Arrays, states: Arrays) -> tuple[Arrays, Arrays]:
+        starts = visit_starts(rows, states, width)
+        return {name: rows[name][starts] for name in columns}, {}
 
     slots = slot_rows(df, [user], ts, gap, order)
-    held = T.StructType(
-        [
-            T.StructField("keys", T.ArrayType(T.StructType([df.schema[user]]))),
-            T.StructField("last", T.ArrayType(T.LongType())),
-        ]
-    )
-    out = T.StructType([T.StructField("_row", df.schema)])
-    grouped = _in_buckets(slots, [user], buckets, clock, lateness)
-    return grouped.applyInPandasWithState(gate, out, held, "append", _timeout(clock)).select("_row.*")
+    return stateful_map(
+        slots, user, gate, T.StructType(), df.schema, "_first", order, gap, clock, lateness, "append", "_last",
+        one_per_slot(gap), pages,
+    )
 
 
 def running_total_idle_stream(
@@ -167,64 +64,74 @@ def running_total_idle_stream(
     gap: str = "3600 seconds",
     clock: str = "event",
     lateness: str = "0 seconds",
-    buckets: int = BUCKETS,
+    pages: int = PAGES,
 ) -> DataFrame:
     """Totals since a key was last idle longer than `gap`, as a stream in update mode.
 
     Each micro-batch gives one row for every visit it adds to: keys, `visit_start`, `visit_end` (last event so far)
     and `total_count`. The last row for a key and visit start does not depend on how the stream was cut into batches.
     """
-    key_names = names(keys)
-    slots = slot_rows(df.select(*key_names, ts), key_names, ts, gap)
-    width = micros(gap)
-    key_type = T.StructType([df.schema[key] for key in key_names])
-
-    def add_up(_: tuple, frames: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        numbers = Keys()
-        stored = state.get if state.exists else ([], [], [], [])
-        for key in stored[0]:
-            numbers[_fields(key)]
-        ordered = _ordered(frames, numbers, width, [])
-        start, last, events = (np.full(len(numbers), NEVER if i < 2 else 0) for i in range(3))
-        for column, values in zip((start, last, events), stored[1:]):
-            column[: len(values)] = values
-        ordered["visit"] = np.cumsum(_visit_starts(ordered, last, width))
-        begins = ordered.groupby(["code", "visit"], as_index=False).agg(
-            _start=("_first", "first"), _end=("_last", "max"), total_count=("_events", "sum")
-        )
-        codes = begins["code"].to_numpy()
-        # A key's first visit here goes on with the stored one, unless its first row starts a visit.
-        goes_on = ~begins.duplicated("code").to_numpy() & (last[codes] != NEVER)
-        goes_on &= begins["_start"].to_numpy() - np.where(goes_on, last[codes], 0) <= width
-        begins["_start"] = np.where(goes_on, start[codes], begins["_start"])
-        begins["_end"] = np.where(goes_on, np.maximum(last[codes], begins["_end"]), begins["_end"])
-        begins["total_count"] += np.where(goes_on, events[codes], 0)
-        newest = begins.drop_duplicates("code", keep="last")
-        at = newest["code"].to_numpy()
-        start[at], last[at], events[at] = newest["_start"], newest["_end"], newest["total_count"]
-        live = _live(last, state, width, clock)
-        every = list(numbers)
-        state.update(([every[i] for i in np.flatnonzero(live)], *(c[live].tolist() for c in (start, last, events))))
-        _forget_when_idle(state, int(last.max()), width, clock)
-        begins["_key"] = pd.Series([dict(zip(key_names, every[code])) for code in codes], dtype=object)
-        yield begins[["_key", "_start", "_end", "total_count"]]
-
-    longs = [T.StructField(name, T.LongType()) for name in ("_start", "_end", "total_count")]
-    out = T.StructType([T.StructField("_key", key_type), *longs])
-    held = T.StructType(
+    key_names, width = names(keys), micros(gap)
+
+    def add_up(_: Arrays, rows: Arrays, states: Arrays) -> tuple[Arrays, Arrays]:
+        key, starts = rows["key"], visit_starts(rows, states, width)
+        fresh = np.append(True, key[1:] != key[:-1])
+        visit = np.flatnonzero(starts | fresh)
+        of = key[visit]
+        goes_on = ~starts[visit]  # a key's first visit here goes on with the stored one
+        start = np.where(goes_on, states["start"][of], rows["_first"][visit])
+        end = np.maximum.reduceat(rows["_last"], visit)
+        end = np.where(goes_on, np.maximum(states["seen"][of], end), end)
+        events = np.add.reduceat(rows["_events"], visit) + np.where(goes_on, states["events"][of], 0)
+        newest = np.append(of[1:] != of[:-1], True)
+        made = {name: rows[name][visit] for name in key_names} | {"visit_start": start, "visit_end": end, "total_count": events}
+        return made, {"start": start[newest], "events": events[newest]}
+
+    slots = slot_rows(df.select(*key_names, ts), key_names, ts, gap, [])
+    state = T.StructType([T.StructField("start", T.LongType()), T.StructField("events", T.LongType())])
+    output = T.StructType(
         [
-            T.StructField("keys", T.ArrayType(key_type)),
-            *(T.StructField(name, T.ArrayType(T.LongType())) for name in ("start", "last", "events")),
+            *(df.schema[name] for name in key_names),
+            T.StructField("visit_start", T.TimestampType()),
+            T.StructField("visit_end", T.TimestampType()),
+            T.StructField("total_count", T.LongType()),
         ]
     )
-    grouped = _in_buckets(slots, key_names, buckets, clock, lateness)
-    totals = grouped.applyInPandasWithState(add_up, out, held, "update", _timeout(clock))
-    return totals.select(
-        "_key.*",
-        F.timestamp_micros("_start").alias("visit_start"),
-        F.timestamp_micros("_end").alias("visit_end"),
-        "total_count",
+    return stateful_map(
+        slots, key_names, add_up, state, output, "_first", [], gap, clock, lateness, "update", "_last",
+        one_per_slot(gap), pages,
+    )
+
+
+def day_streaks_stream(df: DataFrame, user: str = "user_id", ts: str = "ts", pages: int = PAGES) -> DataFrame:
+    """For each user of a micro-batch, days in a row with events up to the newest one (`days`) and at most so far
+    (`longest_days`), as a stream in update mode. Days are those of UTC; an event of an earlier day than the newest counts
+    only if its day is one that is counted already. State is three numbers per user and is never given up.
+    """
+
+    def streaks(keys: Arrays, rows: Arrays, states: Arrays) -> tuple[Arrays, Arrays]:
+        key, day = rows["key"], rows["_first"] // DAY
+        known, stored = states["known"][key], states["newest"][key]
+        later = ~known | (day > stored)
+        key, day = key[later], day[later]
+        new = np.append(True, (key[1:] != key[:-1]) | (day[1:] != day[:-1]))[: len(key)]
+        key, day = key[new], day[new]
+        days, longest, newest = states["days"].copy(), states["longest"].copy(), states["newest"].copy()
+        if len(key):
+            fresh = np.append(True, key[1:] != key[:-1])
+            previous = np.where(fresh, newest[key], np.append(0, day[:-1]))
+            goes_on = (day - previous == 1) & (~fresh | states["known"][key])
+            run = np.flatnonzero(~goes_on | fresh)
+            length = np.diff(np.append(run, len(day))) + np.where(goes_on[run], days[key[run]], 0)
+            np.maximum.at(longest, key[run], length)
+            # Runs are in order, so a key's last one is what stays.
+            days[key[run]], newest[key] = length, day
+        made = {user: keys[user], "days": days, "longest_days": longest}
+        return made, {"days": days, "longest": longest, "newest": newest}
+
+    slots = slot_rows(df.select(user, ts), [user], ts, "1 day", [])
+    state = T.StructType([T.StructField(name, T.LongType()) for name in ("days", "longest", "newest")])
+    output = T.StructType([df.schema[user], *(T.StructField(name, T.LongType()) for name in ("days", "longest_days"))])
+    return stateful_map(
+        slots, user, streaks, state, output, "_first", gap=None, mode="update", shrink=one_per_slot("1 day"), pages=pages
     )

@@ -170,6 +170,13 @@ def test_tolerated_fields(spark):
     assert good[6].season == "1"
 
 
+def test_times_as_numbers(spark):
+    """Milliseconds since 1970 have no zone; more than 15 digits are no time."""
+    good, bad = decode(spark, message(timestamp=1704067200123), message(timestamp="-1000"), message(timestamp=10**17))
+    assert [good[i].event_time for i in (0, 1)] == [datetime(2024, 1, 1, 0, 0, 0, 123_000), datetime(1969, 12, 31, 23, 59, 59)]
+    assert list(bad) == [2]
+
+
 def test_message_bytes(spark):
     df = spark.createDataFrame([(bytearray(message().encode()),)], "value binary")
     good, bad = codec.decode_events(df)
@@ -202,7 +209,7 @@ def test_incomplete_views_are_rejected(spark, tmp_path):
         (4, "u", "Male", "1", "2", None, at(0), 1.0, 30.0),
     )
     sinks.append_views(df, 3, str(tmp_path / "view"), rejected=str(tmp_path / "rejected"))
-    assert spark.read.parquet(str(tmp_path / "view")).count() == 1
+    assert sinks.stored_views(spark, str(tmp_path / "view")).count() == 1
     assert ids(spark.read.parquet(str(tmp_path / "rejected"))) == [1, 2, 3, 4]
 
 
@@ -210,14 +217,14 @@ def test_retried_batch_replaces_itself(spark, tmp_path):
     df = watched(spark, (0, "u", "Male", "1", "2", "s", at(0), 1.0, 30.0))
     for batch_id in (0, 1, 1):
         sinks.append_views(df, batch_id, str(tmp_path / "view"))
-    assert spark.read.parquet(str(tmp_path / "view")).count() == 2
+    assert sinks.stored_views(spark, str(tmp_path / "view")).count() == 2
 
 
 def test_bulk_load_writes_few_files(spark, tmp_path):
     rows = [(i, f"u{i}", "Male", "1", "2", "s", at(86_400 * (i % 3)), 1.0, 30.0) for i in range(90)]
     sinks.append_views(watched(spark, *rows).repartition(8), 0, str(tmp_path / "view"), written_at=F.col("event_time"))
-    assert spark.read.parquet(str(tmp_path / "view")).count() == 90
-    assert len(list((tmp_path / "view").glob("*/*/*.parquet"))) == 3
+    assert sinks.stored_views(spark, str(tmp_path / "view")).count() == 90
+    assert len(list((tmp_path / "view").glob("log/*/*/*.parquet"))) == 3
 
 
 def test_same_second(spark, tmp_path):
@@ -229,8 +236,8 @@ def test_same_second(spark, tmp_path):
     stamp = F.col("event_time")
     sinks.append_views(df, 0, str(tmp_path / "all"), written_at=stamp)
     sinks.append_views(df, 0, str(tmp_path / "last"), written_at=stamp, dedup="user_second")
-    assert spark.read.parquet(str(tmp_path / "all")).count() == 2
-    (row,) = spark.read.parquet(str(tmp_path / "last")).collect()
+    assert sinks.stored_views(spark, str(tmp_path / "all")).count() == 2
+    (row,) = sinks.stored_views(spark, str(tmp_path / "last")).collect()
     assert row.watchedEpisode.Episode == "3"
 
 
@@ -280,6 +287,6 @@ def test_shared_folder_is_below_the_checkpoint_setting(spark):
 def test_counting_reads_two_nested_columns_only(spark, tmp_path):
     df = watched(spark, (0, "u", "Male", "1", "2", "s", at(0), 1.0, 30.0))
     sinks.append_views(df, 0, str(tmp_path / "view"))
-    stored = files.stored_views(spark, str(tmp_path / "view"))
+    stored = sinks.stored_views(spark, str(tmp_path / "view"))
     plan = counts.view_counts(views.views_to_events(stored))._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<watchedEpisode:struct<ShowId:string>,userDetails:struct<userId:string>>" in plan

@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from showpulse.operators import blocks, dedup, totals
-from showpulse.streaming import stateful
+from showpulse.streaming import keyed
+from showpulse.streaming.slots import one_per_slot
 
 START = datetime(2024, 1, 1)
 
@@ -19,8 +20,9 @@ def brute_force(rows, gap=3600):
     for event_id, user, seconds in sorted(rows, key=lambda r: (r[2], r[0])):
         seen = user in last and seconds - last[user] <= gap
         last[user] = seconds
-        total[user] = total.get(user, 0) + 1
-        idle[user] = idle[user] + 1 if seen else 1
+        # A null key is the key of no other event.
+        total[user] = total.get(user, 0) + 1 if user else 1
+        idle[user] = idle[user] + 1 if seen and user else 1
         result[event_id] = (seen, total[user], idle[user])
     return result
 
@@ -95,43 +97,39 @@ def test_deep_page_index(spark):
 
 def test_stream_holds_few_rows_of_a_hot_key(monkeypatch):
     """However many slot rows of a key one trigger brings, they are reduced as they come, and the first row of a slot stays."""
-    monkeypatch.setattr(stateful, "ROWS_AT_ONCE", 5_000)
+    monkeypatch.setattr(keyed, "ROWS_AT_ONCE", 5_000)
     rng = random.Random(4)
-    width, frames, seen = 3_600, 60, []
+    width, frames, seen, most = 3_600_000_000, 60, [], 0
+    shrink = one_per_slot("1 hour")
+
+    def watched(rows):
+        nonlocal most
+        most = max(most, len(rows["key"]))
+        return shrink(rows)
 
     def parts():
         for k in range(frames):
             rows = [(rng.randrange(20 * width), k * 1_000 + i) for i in range(1_000)]
             seen.extend(rows)
-            yield pd.DataFrame(
-                {
-                    "_key": [{"user_id": "hot"}] * 1_000,
-                    "_first": [t for t, _ in rows],
-                    "_last": [t for t, _ in rows],
-                    "_events": [1] * 1_000,
-                    "_row": [{"event_id": i, "ts": t} for t, i in rows],
-                }
-            )
-
-    got = stateful._one_per_slot(stateful._ordered(parts(), stateful.Keys(), width, ["event_id"]), width)
+            times = [t for t, _ in rows]
+            numbers = [i for _, i in rows]
+            yield pd.DataFrame({"user_id": "hot", "event_id": numbers, "_first": times, "_last": times, "_events": 1})
+
+    columns = ["user_id", "event_id", "_first", "_last", "_events"]
+    got = shrink(keyed._gathered(parts(), columns, ["user_id"], ["_first", "event_id"], keyed.Numbers(), watched))
     slots = {}
     for t, i in seen:
         slots.setdefault(t // width, []).append((t, i))
     want = [(*min(rows), max(t for t, _ in rows), len(rows)) for _, rows in sorted(slots.items())]
-    assert [(f, r["event_id"], last, n) for f, r, last, n in zip(got._first, got._row, got._last, got._events)] == want
+    assert list(zip(*(got[name].tolist() for name in ("_first", "event_id", "_last", "_events")))) == want
+    assert most <= 6_020
 
 
 def test_stream_orders_null_before_others():
-    frame = pd.DataFrame(
-        {
-            "_key": [{"u": None}, {"u": None}, {"u": 2**53 + 1}, {"u": 2**53}],
-            "_first": [5, 5, 5, 5],
-            "_last": [5, 5, 5, 5],
-            "_events": [1, 1, 1, 1],
-            "_row": [{"event_id": 3}, {"event_id": None}, {"event_id": 2**53 + 1}, {"event_id": 1}],
-        }
-    )
-    keys = stateful.Keys()
-    got = stateful._ordered([frame], keys, 10, ["event_id"])
-    assert [r["event_id"] for r in got["_row"]] == [None, 3, 2**53 + 1, 1]
-    assert list(keys) == [(None,), (2**53 + 1,), (2**53,)]
+    exact = pd.Series([3, None, 2**53 + 1, 1], dtype=object)
+    users = pd.Series([None, None, 2**53 + 1, 2**53], dtype=object)
+    frame = pd.DataFrame({"u": users, "event_id": exact, "_first": 5})
+    numbers = keyed.Numbers()
+    got = keyed._gathered([frame], ["u", "event_id", "_first"], ["u"], ["_first", "event_id"], numbers, None)
+    assert got["event_id"].tolist() == [None, 3, 2**53 + 1, 1]
+    assert list(numbers) == [(None,), (2**53 + 1,), (2**53,)]

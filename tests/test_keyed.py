@@ -1,0 +1,134 @@
+"""Keyed state for any function of arrays."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from replay import Replay, seconds, table
+from test_streaming import cut, random_rows
+
+from showpulse.streaming import keyed, stateful
+
+
+@pytest.fixture
+def replay(spark, tmp_path):
+    return Replay(spark, tmp_path)
+
+
+def show_changes():
+    """A function of a user's events: those at which the user turns to another show than last time.
+
+    State: the last show and how often it changed. Made here, so that it is sent to workers by value.
+    """
+
+    def changes(keys, rows, states):
+        key, show = rows["key"], rows["show_id"]
+        fresh = np.append(True, key[1:] != key[:-1])
+        before = np.where(fresh, states["show"][key], np.append(None, show[:-1]))
+        changed = np.array([a != b for a, b in zip(before, show)]) & ~(fresh & ~states["known"][key])
+        count = states["changes"] + np.bincount(key[changed], minlength=len(states["changes"]))
+        last = np.flatnonzero(np.append(key[1:] != key[:-1], True))
+        made = {"user_id": rows["user_id"][changed], "ts": rows["ts"][changed], "show_id": show[changed], "before": before[changed]}
+        return made, {"show": show[last], "changes": count}
+
+    return changes
+
+
+def by_hand(rows):
+    last, changes = {}, []
+    for _, user, show, t in sorted(rows, key=lambda r: (r[3], r[0])):
+        if user in last and last[user] != show:
+            changes.append((str(user), float(t), str(show), str(last[user])))
+        last[user] = show
+    return sorted(changes)
+
+
+def changes_of(replay, **options):
+    return keyed.stateful_map(
+        replay.stream(), "user_id", show_changes(), "show string, changes long",
+        "user_id string, ts timestamp, show_id string, before string", order="event_id", gap=None, **options,
+    )
+
+
+@pytest.mark.parametrize("pages", [1, 3, keyed.PAGES])
+def test_a_function_of_the_user(spark, replay, pages):
+    rows = random_rows(11, count=200) + [(900 + i, None, None if i % 3 else "s1", 70_000 + i) for i in range(9)]
+    got = []
+    for part in cut(rows, [70, 60]):
+        replay.add(part)
+        got += [r for b in replay.run(changes_of(replay, pages=pages), "append") for r in b]
+    assert sorted((str(r.user_id), seconds(r.ts), str(r.show_id), str(r.before)) for r in got) == by_hand(rows)
+    assert len(got) > 50
+
+
+def states_written(spark, replay, rows, name):
+    """State rows written by the last trigger that had events, and rows that are kept."""
+    query = changes_of(replay).writeStream.format("noop").trigger(availableNow=True)
+    query = query.option("checkpointLocation", str(replay.folder / name)).start()
+    query.awaitTermination()
+    progress = [p.stateOperators[0] for p in query.recentProgress if p.numInputRows]
+    return progress[-1].numRowsUpdated, progress[-1].numRowsTotal
+
+
+def test_a_trigger_writes_the_pages_it_touches(spark, replay):
+    replay.add([(i, f"u{i}", "s", i) for i in range(3_000)])
+    replay.add([(9_000 + i, f"u{i}", "t", 5_000 + i) for i in range(20)])
+    written, kept = states_written(spark, replay, None, "state")
+    assert written == 20 and kept > 2_900
+
+
+def test_keys_of_a_page_are_given_up_one_by_one(spark, replay):
+    """One page for all keys: idle keys leave it while another keeps it alive."""
+    replay.add([(0, "a", "s", 0), (1, "b", "s", 0)])
+    for i in range(1, 6):
+        replay.add([(1 + i, "a", f"s{i}", i * 3_000)])
+    replay.add([(50, "b", "other", 16_000), (51, "a", "s5", 16_001)])
+
+    def known(keys, rows, states):
+        return {"user_id": keys["user_id"], "known": states["known"]}, {}
+
+    stream = keyed.stateful_map(replay.stream(), "user_id", known, "", "user_id string, known boolean", pages=1)
+    batches = [{r.user_id: r.known for r in b} for b in replay.run(stream, "append") if b]
+    assert batches[0] == {"a": False, "b": False} and batches[1] == {"a": True}
+    assert batches[-1] == {"a": True, "b": False}
+
+
+def test_streaks_of_days_by_hand(spark, replay):
+    day = 86_400
+    users = {"a": [0, 1, 1, 2, 5, 6], "b": [0, 2, 3, 4, 5, 9, 10], "c": [7], "d": [0, 1, 2, 3, 8, 9]}
+    events = sorted((d * day + 5 * i, u) for u, days in users.items() for i, d in enumerate(days))
+    rows = [(i, u, "s", t) for i, (t, u) in enumerate(events)]
+    newest = {}
+    for part in cut(rows, [7, 6]):
+        replay.add(part)
+        stream = stateful.day_streaks_stream(replay.stream())
+        for batch in replay.run(stream, "update"):
+            newest |= {r.user_id: (r.days, r.longest_days) for r in batch}
+    assert newest == {"a": (2, 3), "b": (2, 4), "c": (1, 1), "d": (2, 4)}
+
+
+def test_older_days_do_not_count_again(spark, replay):
+    day = 86_400
+    replay.add([(0, "a", "s", 5 * day), (1, "a", "s", 6 * day)])
+    replay.add([(2, "a", "s", 4 * day), (3, "a", "s", 6 * day + 9)])
+    replay.add([(4, "a", "s", 7 * day)])
+    rows = [r for b in replay.run(stateful.day_streaks_stream(replay.stream()), "update") for r in b]
+    assert [(r.days, r.longest_days) for r in rows] == [(2, 2), (2, 2), (3, 3)]
+
+
+def test_times_and_nulls_pass_unchanged(spark, replay):
+    rows = [(2**53 + 1, "u", None, 0), (5, "u", "s", 1), (6, None, "s", 1)]
+    replay.add(rows)
+    stream = replay.stream().withColumn("other", F.expr("ts + INTERVAL 1 MICROSECOND")).withColumn(
+        "n", F.expr("CASE WHEN event_id > 5 THEN event_id END")
+    )
+
+    columns = stream.columns
+    schema = stream.schema
+    stream_map = keyed.stateful_map(
+        stream, ["user_id", "show_id"], lambda k, r, s: ({c: r[c] for c in columns}, {}), "", schema, order="event_id", gap=None
+    )
+    got = [tuple(r) for b in replay.run(stream_map, "append") for r in b]
+    want = table(spark, rows).withColumn("other", F.expr("ts + INTERVAL 1 MICROSECOND")).withColumn(
+        "n", F.expr("CASE WHEN event_id > 5 THEN event_id END")
+    )
+    assert sorted(map(str, got)) == sorted(str(tuple(r)) for r in want.collect())

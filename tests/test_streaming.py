@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from replay import Replay, at, seconds, table
 
 from showpulse.operators import dedup, totals, windows
-from showpulse.streaming import native, sinks, stateful
+from showpulse.streaming import native, stateful
 
 
 @pytest.fixture
@@ -124,6 +124,46 @@ def test_windows_in_update_mode_equal_batch(spark, replay):
     assert newest == {tuple(r)[:4]: r.total_count for r in windows.sliding_counts(table(spark, rows)).collect()}
 
 
+def test_windows_from_panes_of_a_stream_equal_batch(spark, replay):
+    rows = random_rows(4)
+    for part in cut(rows, [100, 100]):
+        replay.add(part)
+    panes = windows.pane_counts(replay.stream().withWatermark("ts", "10 minutes"), slide="30 seconds", start="7 seconds")
+    newest = {tuple(r)[:3]: tuple(r) for b in replay.run(panes, "update") for r in b}
+    kept = spark.createDataFrame(list(newest.values()), "user_id string, show_id string, window_start timestamp, total_count long")
+    got = sorted(tuple(r) for r in windows.sliding_from_panes(kept).collect())
+    assert got == sorted(tuple(r) for r in windows.sliding_counts(table(spark, rows), start="7 seconds").collect())
+    with pytest.raises(ValueError):
+        windows.sliding_from_panes(kept, length="100 seconds", slide="30 seconds")
+
+
+def test_panes_shuffle_an_event_once_at_most(spark, replay):
+    replay.add(random_rows(4))
+    panes = windows.pane_counts(replay.stream().withWatermark("ts", "0 seconds"))
+    query = panes.writeStream.outputMode("update").format("noop").trigger(availableNow=True)
+    query = query.option("checkpointLocation", str(replay.folder / "c")).start()
+    query.awaitTermination()
+    plan = query._jsq.explainInternal(False)
+    assert "Expand" not in plan and plan.count("Exchange") == 1
+
+
+def test_exact_watchers_from_first_sightings(spark, replay):
+    """Events out of order, within the lateness and behind a restart, are counted once for each window."""
+    rows = [(i, f"u{i % 5}", f"s{i % 2}", t) for i, t in enumerate([0, 10, 10, 29, 30, 95, 60, 61, 0, 160, 100, 100, 200, 130])]
+    rows += [(99, None, "s0", 200), (100, "u1", None, 205)]
+    got = []
+    for part in cut(rows, [5, 4, 3]):
+        replay.add(part)
+        stream = windows.pane_watchers(replay.stream(), lateness="100 seconds")
+        got += [tuple(r) for b in replay.run(stream, "append") for r in b]
+    assert len(set(got)) == len(got)
+    kept = spark.createDataFrame(got, "show_id string, user_id string, pane_start timestamp")
+    want = windows.watchers_per_window(table(spark, rows)).collect()
+    assert sorted(map(str, windows.watchers_from_panes(kept).collect())) == sorted(map(str, want))
+    with pytest.raises(ValueError):
+        windows.pane_watchers(replay.stream())
+
+
 def test_watchers_sketch_on_stream(spark, replay):
     rows = random_rows(5)
     for part in cut(rows, [100, 100]):
@@ -143,29 +183,6 @@ def test_closed_sessions(spark, replay):
     assert got == sorted(tuple(r) for r in dedup.session_first(table(spark, rows)).collect())
 
 
-def test_upserts_survive_retry_and_compaction(spark, tmp_path):
-    path = str(tmp_path / "traffic")
-
-    def batch(values):
-        return spark.createDataFrame(values, "user_id string, show_id string, total_count long")
-
-    sinks.upsert_log(batch([("u", "a", 1), ("v", "a", 1)]), 0, path)
-    sinks.upsert_log(batch([("u", "b", 7)]), 1, path)
-    sinks.upsert_log(batch([("u", "b", 1)]), 1, path)
-    rows = lambda keys: sorted(tuple(r)[:3] for r in sinks.upserted(spark, path, keys).select("user_id", "show_id", "total_count").collect())
-    assert rows(["user_id", "show_id"]) == [("u", "a", 1), ("u", "b", 1), ("v", "a", 1)]
-    assert rows("user_id") == [("u", "b", 1), ("v", "a", 1)]
-    sinks.compact(spark, path, ["user_id", "show_id"])
-    assert rows(["user_id", "show_id"]) == [("u", "a", 1), ("u", "b", 1), ("v", "a", 1)]
-    sinks.upsert_log(batch([("u", "a", 2)]), 2, path)
-    assert rows(["user_id", "show_id"]) == [("u", "a", 2), ("u", "b", 1), ("v", "a", 1)]
-    sinks.compact(spark, path, ["user_id", "show_id"], purge=True)
-    assert rows(["user_id", "show_id"]) == [("u", "a", 2), ("u", "b", 1), ("v", "a", 1)]
-    assert not (tmp_path / "traffic/log/batch_id=2").exists()
-    sinks.compact(spark, path, ["user_id", "show_id"], purge=True)
-    assert rows("user_id") == [("u", "a", 2), ("v", "a", 1)]
-
-
 def test_state_keeps_payload_exact(spark, replay):
     """Payload columns with nulls and large integers pass the gate unchanged."""
     replay.add([(9007199254740993, "a", None, 0), (2, None, "s", 0), (3, None, "s", 9)])
