@@ -132,10 +132,14 @@ def _block(pane: Column, length: str) -> Column:
 
 
 def _in_blocks(panes: DataFrame, keys: list[str], length: str, slide: str) -> DataFrame:
-    """Rows with a `_pane` in the blocks that its windows begin in, shuffled by key and block."""
+    """Rows with a `_pane` in the blocks that its windows begin in, shuffled by key and block.
+
+    The number of partitions is set, as what is shuffled is a fraction of what is made of it there.
+    """
+    partitions = int(panes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     earliest = F.col("_pane") - _interval(micros(length) - micros(slide))
     blocks = F.array_distinct(F.array(_block(earliest, length), _block(F.col("_pane"), length)))
-    return panes.withColumn("_block", F.explode(blocks)).repartition(*keys, "_block")
+    return panes.withColumn("_block", F.explode(blocks)).repartition(partitions, *keys, "_block")
 
 
 def _copied(panes: DataFrame, length: str, slide: str) -> DataFrame:

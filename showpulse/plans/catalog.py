@@ -18,6 +18,7 @@ from showpulse.streaming import native, sinks, stateful, tables
 HOUR = "1 hour"
 SMALL_BLOCK = 100  # rows: cuts the keys of small tables into blocks too
 PIECES = 3
+PAGES = 512  # of stream state: some ten keys of the tables at hand in each
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -353,16 +354,16 @@ def stored_of(spark: SparkSession, sf_dir: str, of: Callable[[DataFrame], DataFr
 
 
 def stream_idle_gate(spark, sf_dir):
-    return plain_times(stored_of(spark, sf_dir, lambda events: stateful.idle_gate_stream(sightings_of(events))))
+    return plain_times(stored_of(spark, sf_dir, lambda events: stateful.idle_gate_stream(sightings_of(events), pages=PAGES)))
 
 
 def stream_running_total_idle(spark, sf_dir):
     keys = ["user_id", "show_id", "visit_start"]
-    return upserts_of(spark, sf_dir, lambda events: stateful.running_total_idle_stream(sightings_of(events)), keys)
+    return upserts_of(spark, sf_dir, lambda events: stateful.running_total_idle_stream(sightings_of(events), pages=PAGES), keys)
 
 
 def stream_day_streaks(spark, sf_dir):
-    return upserts_of(spark, sf_dir, lambda events: stateful.day_streaks_stream(sightings_of(events)), ["user_id"])
+    return upserts_of(spark, sf_dir, lambda events: stateful.day_streaks_stream(sightings_of(events), pages=PAGES), ["user_id"])
 
 
 def stream_total(spark, sf_dir):
@@ -464,7 +465,8 @@ def job_tables(spark, sf_dir, backwards: bool = False, **options) -> str:
     folder = shared_folder(spark)
     for events in live_events(spark, sf_dir, folder, backwards):
         messages = codec.encode_events(as_watch_events(events), keep=["event_id"])
-        streaming_job(spark, messages, folder, f"{folder}/checkpoint", {"availableNow": True}, order="event_id", **options)
+        settings = {"order": "event_id", "pages": PAGES} | options
+        streaming_job(spark, messages, folder, f"{folder}/checkpoint", {"availableNow": True}, **settings)
     return folder
 
 

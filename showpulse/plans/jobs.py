@@ -12,6 +12,7 @@ from showpulse.operators.views import REQUIRED, split_storable, traffic_rows, vi
 from showpulse.operators.windows import pane_counts
 from showpulse.sources.files import file_system
 from showpulse.streaming import sinks
+from showpulse.streaming.keyed import PAGES
 from showpulse.streaming.stateful import idle_gate_stream, running_total_idle_stream
 from showpulse.streaming.tables import write_batch
 
@@ -39,13 +40,15 @@ def streaming_job(
     gated: bool = True,
     allow_late: bool = False,
     merge_every: int = MERGE_EVERY,
+    pages: int = PAGES,
 ) -> list[StreamingQuery]:
     """Store views and bad messages, gate users, keep totals and window counts. `messages` is a stream with `value`.
 
     Each message is parsed once, into the table `decoded`, whose log of finished batches all other queries follow, each from
     its own checkpoint: any of them may stop or fail and go on later. Tables under `out`: `decoded`, `gated`, `quarantine`,
     `rejected` (parquet); `view`, `watchers` (by date), `total_traffic`, `window_traffic` (upserts, the latter of panes; see
-    `sinks.read_…`). A table's batches are merged into its parts whenever there are `merge_every` new ones.
+    `sinks.read_…`). A table's batches are merged into its parts whenever there are `merge_every` new ones. `pages` of state: see
+    `streaming.keyed`.
 
     With `gated`, a user counts once per idle gap, in the totals and windows too; without, every view does.
     `clock="arrival"`, the default, counts an event when it arrives: idle gaps, visits and windows go by the start time of
@@ -118,7 +121,7 @@ def streaming_job(
         events, _ = split_storable(decoded.where(~F.col("bad")).drop("bad", "value"), required)
         counted = events
         if gated:
-            queries.append(stored(idle_gate_stream(events, "user_id", when, order, gap, "event", lateness), "gated"))
+            queries.append(stored(idle_gate_stream(events, "user_id", when, order, gap, "event", lateness, pages), "gated"))
             counted = spark.readStream.schema(events.schema).parquet(f"{out}/gated")
 
         def upsert(df: DataFrame, name: str, keys: list[str], times: list[str]) -> StreamingQuery:
@@ -129,7 +132,7 @@ def streaming_job(
             merge = often(lambda: sinks.merge_upserts(spark, f"{out}/{name}", keys))
             return start(df, name, write)
 
-        totals = running_total_idle_stream(counted, KEYS, when, gap, "event", lateness)
+        totals = running_total_idle_stream(counted, KEYS, when, gap, "event", lateness, pages)
         panes = pane_counts(counted.withWatermark(when, lateness), KEYS, when)
         queries.append(upsert(totals, "total_traffic", VISIT, ["visit_start", "visit_end"]))
         queries.append(upsert(panes, "window_traffic", sinks.PANE, ["window_start"]))
