@@ -1,15 +1,17 @@
 """Exact top-k inner products by reading sorted lists, without random access to single scores until the end.
 
 Each component of the candidates is a list sorted by value. A query reads the lists of its positive components from the
-largest value down and those of its negative ones from the smallest up, all to the same depth. What has been read bounds
-every candidate's score: an unread component is no better than the last value read and no worse than the end of the list.
-Reading goes deeper until the k-th best lower bound is above the upper bounds of nearly all others; the few that remain are
-scored in full. Candidates and queries are dealt into cells of bounded size, each cell gives its k best, and the best of
-those are the answer.
-
-Rows: null keys, null vectors and vectors with null, NaN or infinite components take no part. Shorter vectors count as
-padded with zeros. A query is not its own candidate, nor is another row of its key. Equal scores go to the smaller key.
-With fewer than k candidates all are returned; an empty table gives an empty table. Other columns play no part.
+largest value down and those of its negative ones from the smallest up, in steps, all to the same depth. What has been read
+bounds every candidate's score: an unread component is no better than the last value read and no worse than the end of
+its list. A step adds what it has read to the lower bounds and narrows the gaps above them. A query stops reading when only
+a few candidates have an upper bound that reaches the k-th best lower bound: no other can be among its k best. The scores of
+these few are then resolved in full. Candidates and queries are dealt into cells of bounded size, each cell gives its k best,
+and the best of those are the answer.
+
+Rows: null keys, null vectors and vectors with null, NaN or infinite components take no part. Of rows that share a key, one
+takes part, that of the least vector in order. Shorter vectors count as padded with zeros. A query is not its own candidate.
+Equal scores go to the smaller key. With fewer than k candidates all are returned; an empty table gives an empty table. Other
+columns play no part.
 """
 
 import numpy as np
@@ -20,10 +22,12 @@ from pyspark.sql import functions as F
 CANDIDATES = 4_096
 QUERIES = 1_024
 """Rows of each side that meet in one cell, about."""
-BATCH = 128  # queries that a task bounds at once
-DEPTHS = (0.25, 0.5, 1.0)
-FEW = 16
-"""Candidates for each wanted one that are scored in full rather than bounded further."""
+STEP = 0.5
+"""Share of what is left of the lists that a step reads."""
+LEAST = 1 / 64
+"""Share of the lists below which a step reads all that is left."""
+FEW = 4
+"""Candidates for each wanted one whose scores are resolved in full rather than bounded further."""
 
 
 def quantised(df: DataFrame, key: str, vector: str, factor: int = 64) -> DataFrame:
@@ -59,103 +63,122 @@ class Lists:
         np.put_along_axis(self.place, by, np.arange(self.n)[:, None], 0)
         self.values = np.take_along_axis(self.rows, by, 0)
 
-    def read(self, depth: int) -> list[np.ndarray]:
-        """After reading `depth` entries: worst and best value of each component, read downwards; the same, read upwards."""
-        n, rows, values = self.n, self.rows, self.values
-        down, up = self.place >= n - depth, self.place < depth
-        return [
-            np.where(down, rows, values[0]).T,
-            np.where(down, rows, values[n - depth]).T,
-            np.where(up, rows, values[n - 1]).T,
-            np.where(up, rows, values[depth - 1]).T,
-        ]
-
-
-def best_of(lists: Lists, query_ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Query, candidate and score of each query's k best of a block, ties to the smaller id."""
+    def depths(self) -> list[int]:
+        """How deep the lists have been read after each step."""
+        depths, left = [], self.n
+        while left > self.n * LEAST:
+            left -= max(1, round(left * STEP))
+            depths.append(self.n - left)
+        return [*depths, self.n] if left else depths
+
+    def step(self, since: int, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """What reading from `since` to `depth` tells, for lists read downwards and for lists read upwards: how much better
+        than the end of its list each component that was read now is, which are unread, and how far above the end of its
+        list an unread component may be.
+        """
+        n, rows, values, place = self.n, self.rows, self.values, self.place
+        now_down, now_up = (place >= n - depth) & (place < n - since), (place < depth) & (place >= since)
+        return (
+            np.where(now_down, rows - values[0], 0.0).T,
+            np.where(now_up, rows - values[n - 1], 0.0).T,
+            (place < n - depth).astype(np.float64).T,
+            (place >= depth).astype(np.float64).T,
+            values[n - depth] - values[0],
+            values[depth - 1] - values[n - 1],
+        )
+
+
+def best_of(lists: Lists, query_ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """Query, candidate, score and share of the lists that was read, for each query's k best of a block; ties to the smaller id."""
     found: list[tuple] = []
+    n, exact = lists.n, queries.astype(np.float64)
     todo = np.arange(len(queries))
-    exact = queries.astype(np.float64)
-    for share in DEPTHS:
-        depth = max(1, min(lists.n, int(np.ceil(share * lists.n))))
-        down_worst, down_best, up_worst, up_best = lists.read(depth)
-        left = []
-        for start in range(0, len(todo), BATCH):
-            some = todo[start : start + BATCH]
-            positive, negative = np.maximum(exact[some], 0), np.minimum(exact[some], 0)
-            lower = positive @ down_worst + negative @ up_worst
-            upper = lower if depth == lists.n else positive @ down_best + negative @ up_best
-            own = query_ids[some][:, None] == lists.ids[None, :]
-            lower, upper = np.where(own, -np.inf, lower), np.where(own, -np.inf, upper)
-            bar = np.partition(lower, lists.n - k, 1)[:, lists.n - k] if lists.n > k else np.full(len(some), -np.inf)
-            able = (upper >= bar[:, None]) & ~own
-            for q, mask in zip(some, able, strict=True):
-                chosen = np.flatnonzero(mask)
-                if depth < lists.n and len(chosen) > FEW * k:
-                    left.append(q)
-                    continue
-                scores = lists.rows[chosen] @ exact[q]
-                by = np.lexsort((lists.ids[chosen], -scores))[:k]
-                found.append((q, lists.ids[chosen][by], scores[by]))
-        todo = np.array(left, dtype=np.int64)
-    if not found:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    lengths = [len(ids) for _, ids, _ in found]
+    positive, negative = np.maximum(exact, 0), np.minimum(exact, 0)
+    # With nothing read every component is at the end of its list. Values are integers below 2**52, so sums are exact.
+    lower = np.repeat((positive @ lists.values[0] + negative @ lists.values[n - 1])[:, None], n, 1)
+    lower[query_ids[:, None] == lists.ids[None, :]] = -np.inf
+    since = 0
+    for depth in lists.depths():
+        better_down, better_up, unread_down, unread_up, above_down, above_up = lists.step(since, depth)
+        lower += positive[todo] @ better_down + negative[todo] @ better_up
+        gap = (positive[todo] * above_down) @ unread_down + (negative[todo] * above_up) @ unread_up
+        bar = np.partition(lower, n - k, 1)[:, n - k] if n > k else np.full(len(todo), -np.inf)
+        able = (lower + gap >= bar[:, None]) & (lower > -np.inf)
+        done = (able.sum(1) <= FEW * k) | (depth == n)
+        for at in np.flatnonzero(done):
+            q, chosen = todo[at], np.flatnonzero(able[at])
+            scores = lists.rows[chosen] @ exact[q]
+            by = np.lexsort((lists.ids[chosen], -scores))[:k]
+            found.append((query_ids[q], lists.ids[chosen][by], scores[by], depth / n))
+        todo, lower, since = todo[~done], lower[~done], depth
+        if not len(todo):
+            break
+    lengths = [len(ids) for _, ids, _, _ in found]
     return (
-        np.repeat(query_ids[[q for q, _, _ in found]], lengths),
-        np.concatenate([ids for _, ids, _ in found]),
-        np.concatenate([s for _, _, s in found]).astype(np.int64),
+        np.repeat([q for q, _, _, _ in found], lengths).astype(np.int64),
+        np.concatenate([ids for _, ids, _, _ in found]),
+        np.concatenate([scores for _, _, scores, _ in found]).astype(np.int64),
+        np.repeat([share for _, _, _, share in found], lengths).astype(np.float64),
     )
 
 
-def plain(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> tuple:
+def plain(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
     """The same for values beyond the exact range of floating point: full scores in 64-bit integers."""
-    out: list[list] = [[], [], []]
+    out: list[list] = [[], [], [], []]
     for q, vector in zip(query_ids, queries, strict=True):
         others = np.flatnonzero(ids != q)
         scores = (rows[others] * vector).sum(1)
         by = np.lexsort((ids[others], ~scores))[:k]
-        for column, part in zip(out, (np.full(len(by), q), ids[others][by], scores[by]), strict=True):
+        for column, part in zip(out, (np.full(len(by), q), ids[others][by], scores[by], np.ones(len(by))), strict=True):
             column.append(part)
-    return tuple(np.concatenate(c) if c else np.zeros(0, np.int64) for c in out)
+    return tuple(map(np.concatenate, out))
 
 
 def top_k(vectors: DataFrame, queries: Column, k: int = 20) -> DataFrame:
-    """query_id, rank, vec_id and score of the k best of all rows for each row where `queries` holds.
+    """query_id, rank, vec_id and score of the k best of all rows for each row where `queries` holds, and read_share, the
+    share of the lists that was read in the cell where a row was found.
 
     `vectors` has the columns `id` and `v`, as `quantised` gives them. Rows of both sides are copied once for each block of
     the other side; a cell holds about CANDIDATES and QUERIES rows whatever the number of either.
     """
+    vectors = vectors.groupBy("id").agg(F.min("v").alias("v"))
     sizes = vectors.agg(F.count(F.lit(1)).alias("n"), F.count_if(queries).alias("q"), F.max(F.size("v")).alias("width")).first()
     width = sizes.width or 0
     across, down = max(1, -(-sizes.n // CANDIDATES)), max(1, -(-sizes.q // QUERIES))
     cell = F.col("across") * down + F.col("down")
     block = F.xxhash64("id", F.lit("block"))
+    # Names of their own: both sides come from the same rows.
     asked = vectors.where(queries).select(
-        "id", "v", F.explode(F.sequence(F.lit(0), F.lit(across - 1))).alias("across"), F.pmod(block, F.lit(down)).alias("down")
+        F.col("id").alias("query"),
+        F.col("v").alias("asked"),
+        F.explode(F.sequence(F.lit(0), F.lit(across - 1))).alias("across"),
+        F.pmod(block, F.lit(down)).alias("down"),
     )
     offered = vectors.select(
-        "id", "v", F.pmod(block, F.lit(across)).alias("across"), F.explode(F.sequence(F.lit(0), F.lit(down - 1))).alias("down")
+        F.col("id").alias("candidate"),
+        F.col("v").alias("offered"),
+        F.pmod(block, F.lit(across)).alias("across"),
+        F.explode(F.sequence(F.lit(0), F.lit(down - 1))).alias("down"),
     )
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        names = ["query_id", "vec_id", "score"]
+        names = ["query_id", "vec_id", "score", "read_share"]
         if not left.num_rows or not right.num_rows or not width:
-            made = (np.zeros(0, np.int64),) * 3
+            made = (np.zeros(0, np.int64),) * 3 + (np.zeros(0),)
         else:
-            query_ids, ids = np.asarray(left.column("id")), np.asarray(right.column("id"))
-            asks, rows = matrix(left.column("v"), width), matrix(right.column("v"), width)
+            query_ids, ids = np.asarray(left.column("query")), np.asarray(right.column("candidate"))
+            asks, rows = matrix(left.column("asked"), width), matrix(right.column("offered"), width)
             most = float(np.abs(asks.astype(np.float64)).max()) * float(np.abs(rows.astype(np.float64)).max()) * width
             made = (
                 best_of(Lists(ids, rows), query_ids, asks, k) if most < 2.0**52 else plain(ids, rows, query_ids, asks, k)
             )
-        return pa.table([pa.array(a, pa.int64()) for a in made], names)
+        return pa.table([pa.array(a) for a in made], names)
 
     met = (
         asked.withColumn("cell", cell)
         .groupBy("cell")
         .cogroup(offered.withColumn("cell", cell).groupBy("cell"))
-        .applyInArrow(meet, "query_id long, vec_id long, score long")
+        .applyInArrow(meet, "query_id long, vec_id long, score long, read_share double")
     )
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return met.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)

@@ -43,14 +43,14 @@ def op1_sentencepiece(spark, sf_dir):
 
 
 def op2_language(spark, sf_dir):
-    held_out = sampling.remainder("doc_id", 3) == 1
+    held_out = F.coalesce(sampling.remainder("doc_id", 3) == 1, F.lit(False))
     texts = documents(spark, sf_dir).select("doc_id", "text", "lang", held_out.alias("held_out"))
     identifier = language.fit(texts.where(~F.col("held_out")))
     return language.identified(texts.drop("lang"), identifier).drop("text")
 
 
 def op3_quality(spark, sf_dir):
-    held_out = sampling.remainder("doc_id", 5) == 0
+    held_out = F.coalesce(sampling.remainder("doc_id", 5) == 0, F.lit(False))
     learned = table(spark, sf_dir, "labels").where(~held_out)
     texts = documents(spark, sf_dir).select("doc_id", "text")
     ranker = quality.fit(texts, learned)
@@ -76,7 +76,7 @@ def op6_personal_data(spark, sf_dir):
 
 def op7_top_k(spark, sf_dir):
     vectors = nearest.quantised(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
-    return nearest.top_k(vectors, F.col("id") % 20 == 0)
+    return nearest.top_k(vectors, F.col("id") % 20 == 0).drop("read_share")
 
 
 TARGET_TEXTS = 5_000
@@ -167,8 +167,9 @@ QUERIES = {
     "op6_personal_data": (op6_personal_data, None),
     "op7_top_k": (
         op7_top_k,
-        """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
-    FROM embeddings WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        """WITH v AS (SELECT vec_id, min(list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT))) AS v
+    FROM embeddings WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    GROUP BY vec_id),
 scored AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[]))
     AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
 ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank

@@ -62,13 +62,38 @@ def test_empty_table(spark):
     assert found(spark, []) == []
 
 
-def test_bounds_hold_at_every_depth():
-    rows = np.random.default_rng(3).integers(-90, 90, (50, 5))
+def test_bounds_hold_after_every_step():
+    rng = np.random.default_rng(3)
+    rows, query = rng.integers(-90, 90, (50, 5)), rng.integers(-9, 9, 5)
     lists = nearest.Lists(np.arange(50), rows)
-    for depth in (1, 7, 50):
-        down_worst, down_best, up_worst, up_best = (m.T for m in lists.read(depth))
-        assert (down_worst <= rows).all() and (rows <= down_best).all()
-        assert (up_best <= rows).all() and (rows <= up_worst).all()
+    positive, negative = np.maximum(query, 0), np.minimum(query, 0)
+    lower, since, gaps = np.full(50, positive @ lists.values[0] + negative @ lists.values[-1]), 0, []
+    assert lists.depths()[-1] == 50 and lists.depths() == sorted(set(lists.depths()))
+    for depth in lists.depths():
+        better_down, better_up, unread_down, unread_up, above_down, above_up = lists.step(since, depth)
+        lower = lower + positive @ better_down + negative @ better_up
+        gap = (positive * above_down) @ unread_down + (negative * above_up) @ unread_up
+        assert (lower <= rows @ query).all() and (rows @ query <= lower + gap).all()
+        gaps.append(gap.max())
+        since = depth
+    assert gaps == sorted(gaps, reverse=True) and gaps[-1] == 0
+
+
+def test_most_queries_stop_before_the_lists_end(spark):
+    """On the vectors of the larger table; what stops early is right all the same (see the products above)."""
+    vectors = nearest.quantised(spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet"), "vec_id", "embedding")
+    shares = [r.read_share for r in nearest.top_k(vectors, F.col("id") % 20 == 0).groupBy("query_id").agg(F.max("read_share").alias("read_share")).collect()]
+    assert len(shares) >= 100 and sum(share < 1 for share in shares) > 0.8 * len(shares)
+
+
+def test_rows_that_share_a_key_are_one(spark):
+    rows = [(i, [float(i % 7), 1.0]) for i in range(60)] + [(20, [0.25, -3.0]), (20, [0.0, 9.0]), (33, [-1.0, 5.0]), (33, [-1.0, 5.0])]
+    one = {}
+    for i, v in rows:
+        one[i] = min(one.get(i, v), v)
+    got = found(spark, rows, 5)
+    assert len(got) == len(set(got)) == 15
+    assert set(got) == brute_force(list(one.items()), lambda i: i % 20 == 0, 5)
 
 
 def test_query_asks_for_every_twentieth_row(spark, sf_dir):
