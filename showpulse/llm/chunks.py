@@ -20,7 +20,7 @@ from tokenizers import Tokenizer
 from showpulse.llm.columns import add_columns
 from showpulse.llm.token_counts import byte_letters
 
-MEMORY = 80 << 20
+MEMORY = 96 << 20
 """Bytes of remembered pieces, about: beyond them, those that have not been met since the last such time are forgotten."""
 ENTRY = 200  # bytes of an entry besides its texts, about
 LONGEST = 100  # characters of a piece that is remembered
@@ -83,24 +83,25 @@ def packed_ids(ids: list[int]) -> bytes:
 class PreTokens:
     """Ids of plain pieces by their pre-tokens, each of which the library's merges see once, and of others by the library.
 
-    `plain` gives the text that is cut into pre-tokens, or None for a piece that is not plain.
+    `plain` gives the text that is cut into pre-tokens, or None for a piece that is not plain. A pre-token alone is a piece
+    that is its own only pre-token, so `known` remembers both alike.
     """
 
     def __init__(self, tokenizer: Tokenizer, pattern: str, plain: Callable[[str], str | None]) -> None:
         self.tokenizer, self.findall, self.plain = tokenizer, re.compile(pattern).findall, plain
         self.merge, self.letters = tokenizer.model.tokenize, byte_letters()
-        self.known = Memory(self._merged).__getitem__
-
-    def _merged(self, pre_token: str) -> bytes:
-        # Printable ASCII characters stand for themselves, a space does not.
-        if not pre_token.isascii() or pre_token[0] == " ":
-            pre_token = "".join([self.letters[b] for b in pre_token.encode()])
-        return packed_ids([t.id for t in self.merge(pre_token)])
+        self.known = Memory(self.encode).__getitem__
 
     def encode(self, piece: str) -> bytes:
-        if (text := self.plain(piece)) is not None:
-            return b"".join(map(self.known, self.findall(text)))
-        return packed_ids(self.tokenizer.encode(piece, add_special_tokens=False).ids)
+        if (text := self.plain(piece)) is None:
+            return packed_ids(self.tokenizer.encode(piece, add_special_tokens=False).ids)
+        pre_tokens = self.findall(text)
+        if pre_tokens != [piece]:
+            return b"".join(map(self.known, pre_tokens))
+        # Printable ASCII characters stand for themselves, a space does not.
+        if not text.isascii() or text[0] == " ":
+            text = "".join([self.letters[b] for b in text.encode()])
+        return packed_ids([t.id for t in self.merge(text)])
 
 
 @lru_cache(maxsize=1)
@@ -118,7 +119,7 @@ def word_ids(tokenizer: str) -> Callable[[str], bytes]:
         return piece.lower() if plainly(piece) else None
 
     pattern = f"'s|'t|'re|'ve|'m|'ll|'d|[{LOWER}]+|[0-9]|[^{LOWER}0-9]+"
-    known = Memory(PreTokens(found, pattern, plain).encode).__getitem__
+    known = PreTokens(found, pattern, plain).known
 
     def ids(text: str) -> bytes:
         return b"".join([b"".join(map(known, part.replace("\n", " ").split(" "))) for part in slices(text)])
