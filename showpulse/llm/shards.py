@@ -13,7 +13,11 @@ from pyspark.sql import functions as F
 
 LAW = "key"
 BUCKET_BITS = 8
-"""Each shard's rows are numbered in 2**BUCKET_BITS ranges of their hash, in separate tasks."""
+"""Each shard's rows are numbered in 2**BUCKET_BITS ranges of the hash of their contents, in separate tasks, so different rows
+of one key are in many."""
+
+COPIES = 1 << 16
+"""Equal rows that are numbered in one task; more of them are dealt to several."""
 
 OVERHEAD = 16  # bytes that a stored row has besides its text
 
@@ -37,7 +41,7 @@ def sharded(df: DataFrame, shards: int | list[float], key: str = "doc_id", text:
     """Key, size, text_crc32, law, shard, slot and grown_shard of each row.
 
     `shards`: how many of equal weight, or their weights. `slot` counts the rows of a shard from 0 without gaps, in the
-    order of a hash of the key. `grown_shard` is the shard with one more shard of mean weight.
+    order of a hash of key, size and checksum. `grown_shard` is the shard with one more shard of mean weight.
     """
     weights = [1.0] * shards if isinstance(shards, int) else list(shards)
     grown = [*weights, sum(weights) / len(weights)]
@@ -49,7 +53,7 @@ def sharded(df: DataFrame, shards: int | list[float], key: str = "doc_id", text:
     )
     # Equal rows meet before the shuffle, so a key that a third of the rows have is a few rows here.
     counted = rows.groupBy("key", "size", "text_crc32").agg(F.count(F.lit(1)).alias("copies"))
-    place = F.xxhash64("key", F.lit("slot"))
+    place = F.xxhash64("key", "size", "text_crc32", F.lit("slot"))
     dealt = counted.select(
         "*",
         shard_of(F.col("key"), weights).alias("shard"),
@@ -64,12 +68,18 @@ def sharded(df: DataFrame, shards: int | list[float], key: str = "doc_id", text:
     before = Window.partitionBy("shard").orderBy("bucket")
     offsets = buckets.select("shard", "bucket", (F.sum("rows").over(before) - F.col("rows")).alias("offset"))
     placed = numbered.join(offsets, ["shard", "bucket"])
-    return placed.select(
+    # Equal rows in ranges first, each of which may go to a task of its own.
+    last = F.floor((F.col("copies") - 1) / COPIES)
+    ranges = placed.withColumn("range", F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long"))))
+    spread = ranges.where(last == 0).unionByName(ranges.where(last > 0).repartition("key", "size", "text_crc32", "range"))
+    first = F.col("start") + F.col("offset") + F.col("range") * COPIES
+    final = F.col("start") + F.col("offset") + F.least(F.col("copies"), (F.col("range") + 1) * COPIES) - 1
+    return spread.select(
         F.col("key").alias(key),
         "size",
         "text_crc32",
         F.lit(LAW).alias("law"),
         "shard",
         "grown_shard",
-        F.explode(F.sequence(F.col("start") + F.col("offset"), F.col("start") + F.col("offset") + F.col("copies") - 1)).alias("slot"),
+        F.explode(F.sequence(first, final)).alias("slot"),
     )

@@ -1,6 +1,9 @@
+import math
+import struct
 from collections import Counter
 from zlib import crc32
 
+import xxhash
 from pyspark.sql import functions as F
 
 from showpulse.llm import shards
@@ -43,5 +46,35 @@ def test_places_do_not_depend_on_the_other_rows(spark):
     assert part.items() <= whole.items()
 
 
+def test_every_shard_bids_and_the_highest_bid_wins(spark):
+    """All bids by hand: the hash of a number is that of its bytes, each value's hash seeding the next one's."""
+    weights = [0.5, 3.0, 1.0, 1.0, 2.25]
+
+    def bid(key, shard, weight):
+        h = xxhash.xxh64_intdigest(struct.pack("<i", shard), xxhash.xxh64_intdigest(struct.pack("<q", key), 42))
+        return -weight / math.log(((h >> 12) + 0.5) / 2**52)
+
+    def winner(key, weights):
+        return max(range(len(weights)), key=lambda i: (bid(key, i, weights[i]), -i))
+
+    grown = [*weights, sum(weights) / len(weights)]
+    for r in shards.sharded(frame(spark, [(i * 7 - 900, "t") for i in range(400)]), weights).collect():
+        assert (r.shard, r.grown_shard) == (winner(r.doc_id, weights), winner(r.doc_id, grown))
+
+
+def test_hot_rows_and_hot_keys_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(shards, "COPIES", 100)
+    rows = [(None, "same")] * 950 + [(None, f"t{i}") for i in range(900)] + [(7, f"u{i}") for i in range(900)]
+    result = shards.sharded(frame(spark, rows), 3)
+    got = result.collect()
+    assert Counter((r.doc_id, r.text_crc32) for r in got) == Counter((i, crc32(t.encode())) for i, t in rows)
+    for shard in range(3):
+        own = sorted(r.slot for r in got if r.shard == shard)
+        assert own == list(range(len(own)))
+    # A key's rows are numbered in many ranges of their hash.
+    places = {r.slot // 20 for r in got if r.doc_id == 7}
+    assert len(places) > 40
+
+
 def test_empty_table(spark):
     assert shards.sharded(frame(spark, []), 40).count() == 0
