@@ -13,7 +13,7 @@ trees and numbers of links. No pair beyond the trees' edges leaves a task.
 
 Texts: words are runs of non-space characters in lower case. A text of fewer than WIDTH words is one shingle. Null texts,
 and texts without words, are similar to nothing; without words, equal texts are still one class. Repeated rows keep a row
-each. Other columns play no part. An empty table gives an empty table.
+each. Texts are read whole, whatever their length; a task holds the shingles of one text, and of two blocks. Other columns play no part. An empty table gives an empty table.
 """
 
 import math
@@ -24,6 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from showpulse.llm.columns import add_columns
 from showpulse.llm.components import components
@@ -94,7 +95,10 @@ def text_key(text: str) -> int:
 
 
 def described(df: DataFrame, key: str, text: str) -> DataFrame:
-    """key, text_key (null for no text), set_key (null without words) and signature of each row."""
+    """key, text_hash, text_key (null for no text), set_key (null without words) and signature of each row.
+
+    text_hash and text_key tell texts apart: one is Spark's own hash, which finds the rows of `df` again.
+    """
 
     def make() -> Callable:
         shingles = shingler()
@@ -111,7 +115,7 @@ def described(df: DataFrame, key: str, text: str) -> DataFrame:
 
         return columns
 
-    rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    rows = df.select(F.col(key).alias("key"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
     return add_columns(rows, ["text"], "text_key long, set_key long, signature binary", make).drop("text")
 
 
@@ -300,15 +304,8 @@ def _exact_links(similarity: float) -> Callable:
     return run
 
 
-def near_copies(
-    df: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, recall: float = RECALL
-) -> DataFrame:
-    """key, class_id, n_links and n_copies of each row.
-
-    class_id: the least key of the texts connected by links. n_links: other texts of a similarity of at least `similarity`,
-    equal texts counting once. n_copies: rows with this text. Rows with a null key take no part in classes of others and
-    have a null class.
-    """
+def _classes(df: DataFrame, key: str, text: str, similarity: float, recall: float) -> tuple[DataFrame, DataFrame]:
+    """The described rows; and for each text its class (`worded` and `root`), class_id, n_links and n_copies."""
     rows = settled(described(df, key, text))
     texts = rows.where("set_key IS NOT NULL").groupBy("set_key", "text_key").agg(F.first("signature").alias("signature"))
     sets = settled(texts.groupBy("set_key").agg(F.first("signature").alias("signature"), F.count(F.lit(1)).alias("texts")))
@@ -352,27 +349,61 @@ def near_copies(
     )
     classes = by_set.groupBy("root").agg(F.min("least").alias("class_id"))
     known = by_set.join(classes, "root").select(
-        "set_key", "class_id", (F.col("texts") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
+        "set_key", "root", "class_id", (F.col("texts") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
     )
+    columns = ["text_key", "worded", "root", "class_id", "n_links", "n_copies"]
     wordless = by_text.where("set_key IS NULL AND text_key IS NOT NULL").select(
-        "text_key", F.col("least").alias("class_id"), F.lit(0).cast("long").alias("n_links"), "n_copies"
+        "text_key",
+        F.lit(False).alias("worded"),
+        F.col("text_key").alias("root"),
+        F.col("least").alias("class_id"),
+        F.lit(0).cast("long").alias("n_links"),
+        "n_copies",
+    )
+    worded = by_text.where("set_key IS NOT NULL").join(known, "set_key").withColumn("worded", F.lit(True)).select(*columns)
+    return rows, worded.unionByName(wordless)
+
+
+def near_copies(
+    df: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, recall: float = RECALL
+) -> DataFrame:
+    """key, class_id, n_links and n_copies of each row.
+
+    class_id: the least key of the texts connected by links. n_links: other texts of a similarity of at least `similarity`,
+    equal texts counting once. n_copies: rows with this text. Rows with a null key take no part in classes of others and
+    have a null class.
+    """
+    rows, by_text = _classes(df, key, text, similarity, recall)
+    counts = [F.col(name).cast("long").alias(name) for name in ("n_links", "n_copies")]
+    # Null texts stay out of the join, where they would be one key.
+    met = rows.where("text_key IS NOT NULL").join(by_text, "text_key").select("key", "class_id", *counts)
+    null = rows.where("text_key IS NULL").select(
+        "key", F.col("key").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(1).cast("long").alias("n_copies")
     )
-    worded = by_text.where("set_key IS NOT NULL").join(known, "set_key").select("text_key", "class_id", "n_links", "n_copies")
-    by_key = worded.unionByName(wordless)
-    result = rows.select("key", "text_key").join(by_key, "text_key", "left")
-    return result.select(
+    return met.unionByName(null).select(
         F.col("key").alias(key),
-        F.when(F.col("key").isNull(), F.lit(None)).otherwise(F.coalesce("class_id", "key")).alias("class_id"),
-        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
-        F.coalesce("n_copies", F.lit(1).cast("long")).alias("n_copies"),
+        F.when(F.col("key").isNotNull(), F.coalesce("class_id", "key")).alias("class_id"),
+        "n_links",
+        "n_copies",
     )
 
 
 def first_of_each(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `df` without near copies: of each class the row with the least key stays.
+    """The rows of `df` without near copies: one row of each class stays, that with the least key.
 
-    Of rows that share that key, those of the least text stay. Rows with a null key stay.
+    Of different texts that share that key, that with the least hash stays; of rows equal in key and text, the one whose other
+    columns have the least hash. A null text is near to nothing, but rows equal in key with null texts are one. Rows with
+    a null key stay.
     """
-    classes = near_copies(df.select(key, text), key, text)
-    kept = classes.where(F.col(key) == F.col("class_id")).select(F.col(key)).distinct()
-    return df.join(kept, key, "left_semi").unionByName(df.where(F.col(key).isNull()))
+    rows, by_text = _classes(df.where(F.col(key).isNotNull()), key, text, SIMILARITY, RECALL)
+    first = F.min(F.struct("key", "text_hash")).alias("one")
+    classes = rows.where("text_key IS NOT NULL").join(by_text.select("text_key", "worded", "root"), "text_key")
+    kept = classes.groupBy("worded", "root").agg(first).select("one.key", "one.text_hash").withColumn("null", F.lit(False))
+    null = rows.where("text_key IS NULL").select("key", "text_hash", F.lit(True).alias("null")).distinct()
+    # Equal rows meet in their tasks first, so that few of them are shuffled.
+    hashed = [field.name for field in df.schema if not isinstance(field.dataType, T.MapType)]
+    own = F.min_by(F.struct(*df.columns), F.xxhash64(*hashed)).alias("_row")
+    group = [F.col(key).alias("key"), F.xxhash64(text).alias("text_hash"), F.col(text).isNull().alias("null")]
+    single = df.where(F.col(key).isNotNull()).groupBy(*group).agg(own)
+    stay = single.join(kept.unionByName(null), ["key", "text_hash", "null"], "left_semi").select("_row.*")
+    return stay.unionByName(df.where(F.col(key).isNull()))

@@ -8,7 +8,7 @@ from test_setjoin import brute_force as copied
 from test_tokens import MODEL
 
 import corpus_pipeline
-from showpulse.llm import personal, quality, sampling
+from showpulse.llm import personal, quality, sampling, setjoin
 
 
 @pytest.fixture(scope="module")
@@ -92,3 +92,53 @@ def test_run_is_the_stages_in_turn(spark):
     rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
     assert rows
     assert len({r.doc_id for r in rows}) == len(rows)
+
+
+CLASHING = "doc_id long, text string, lang string, source string, n_chars long, score string, predicted string, personal string, "
+CLASHING += "ids string, decoded string, class_id string, item_id int, own_columns int, key string, row long, _row string"
+
+
+def test_own_columns_survive_every_stage(spark, stages):
+    """Columns named like those that operators add keep their names, types and values."""
+    sf_dir, made = stages
+    some = made[0].where("length(text) < 2000").limit(80).selectExpr(
+        "*", "'s' AS score", "'p' AS predicted", "'q' AS personal", "'i' AS ids", "'d' AS decoded", "'c' AS class_id",
+        "7 AS item_id", "8 AS own_columns", "'k' AS key", "9L AS row", "'r' AS _row",
+    )
+    docs = spark.createDataFrame(some.collect(), CLASHING)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, sf_dir)
+        assert [(f.name, f.dataType) for f in kept.schema] == [(f.name, f.dataType) for f in docs.schema]
+        rows = kept.collect()
+        assert rows and {tuple(r)[5:] for r in rows} == {("s", "p", "q", "i", "d", "c", 7, 8, "k", 9, "r")}
+    assert corpus_pipeline.tokens(spark, docs, sf_dir).count() == 80
+
+
+def test_empty_tables(spark, stages):
+    sf_dir, made = stages
+    empty = made[0].limit(0)
+    for n, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        kept = stage(spark, empty, sf_dir)
+        assert kept.count() == 0 and (n == 4 or kept.columns == empty.columns)
+
+
+def test_repeated_rows_and_shared_keys(spark, stages):
+    """Of rows equal in key and text one stays; of texts that share a key and a class with others, one."""
+    sf_dir, _ = stages
+    a, b, c, d = ("".join(f"{w}{i} " for i in range(30)) for w in ("la", "su", "mi", "no"))
+    rows = [(1, a), (1, a), (1, b), (0, b), (2, c), (2, c), (3, c), (4, None), (4, None), (5, None), (6, ""), (6, ""), (7, ""), (None, d), (None, d), (8, d)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.without_near_copies(spark, docs, sf_dir)
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert got == sorted([(1, a), (0, b), (2, c), (4, None), (5, None), (6, ""), (None, d), (None, d), (8, d)], key=str)
+    for _, stage in (corpus_pipeline.STAGES[0], corpus_pipeline.STAGES[2], corpus_pipeline.STAGES[3]):
+        counts = stage(spark, docs, sf_dir).groupBy("doc_id", "text").count().collect()
+        want = docs.groupBy("doc_id", "text").count().collect()
+        assert {(r.doc_id, r["count"]) for r in counts} <= {(r.doc_id, r["count"]) for r in want}
+
+
+def test_of_repeated_rows_with_other_columns_one_whole_row_stays(spark):
+    text = " ".join(f"w{i}" for i in range(20))
+    docs = spark.createDataFrame([(1, text, f"l{i}", i) for i in range(6)], "doc_id long, text string, lang string, n_chars long")
+    kept = [tuple(setjoin.first_of_each(docs.repartition(n)).first()) for n in (1, 3)]
+    assert kept[0] == kept[1] and kept[0][2] == f"l{kept[0][3]}"
