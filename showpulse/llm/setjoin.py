@@ -400,10 +400,19 @@ def first_of_each(df: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     classes = rows.where("text_key IS NOT NULL").join(by_text.select("text_key", "worded", "root"), "text_key")
     kept = classes.groupBy("worded", "root").agg(first).select("one.key", "one.text_hash").withColumn("null", F.lit(False))
     null = rows.where("text_key IS NULL").select("key", "text_hash", F.lit(True).alias("null")).distinct()
-    # Equal rows meet in their tasks first, so that few of them are shuffled.
+    group = ["key", "text_hash", "null"]
+    counted = rows.groupBy("key", "text_hash", F.col("text_key").isNull().alias("null")).agg(F.count(F.lit(1)).alias("n"))
+    stay = settled(counted.join(kept.unionByName(null), group, "left_semi"))
+    own = [F.col(key), F.xxhash64(text), F.col(text).isNull()]
+
+    def of(some: DataFrame) -> DataFrame:
+        """The rows of `df` whose key and text are among some."""
+        named = some.select(*(F.col(name).alias(f"_stay_{name}") for name in group))
+        same = [mine == F.col(f"_stay_{name}") for mine, name in zip(own, group, strict=True)]
+        return df.join(named, same, "left_semi")
+
+    # Only rows that are repeated are compared whole; equal ones meet in their tasks before they are shuffled.
     hashed = [field.name for field in df.schema if not isinstance(field.dataType, T.MapType)]
-    own = F.min_by(F.struct(*df.columns), F.xxhash64(*hashed)).alias("_row")
-    group = [F.col(key).alias("key"), F.xxhash64(text).alias("text_hash"), F.col(text).isNull().alias("null")]
-    single = df.where(F.col(key).isNotNull()).groupBy(*group).agg(own)
-    stay = single.join(kept.unionByName(null), ["key", "text_hash", "null"], "left_semi").select("_row.*")
-    return stay.unionByName(df.where(F.col(key).isNull()))
+    first_row = F.min_by(F.struct(*df.columns), F.xxhash64(*hashed)).alias("_row")
+    repeated = of(stay.where("n > 1")).groupBy(*(c.alias(f"_stay_{n}") for c, n in zip(own, group))).agg(first_row).select("_row.*")
+    return of(stay.where("n = 1")).unionByName(repeated).unionByName(df.where(F.col(key).isNull()))
