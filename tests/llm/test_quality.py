@@ -104,3 +104,34 @@ def test_nothing_to_prefer(spark):
         ranker = quality.fit(rows, labels(spark, known))
         assert {r.score for r in quality.scored(rows, ranker).collect()} == {0.5}
     assert quality.scored(frame(spark, []), quality.fit(frame(spark, []), labels(spark, [(1, 1), (2, 0)]))).count() == 0
+
+
+def test_every_labelled_text_counts(spark):
+    """Mean, weights, threshold and slope by brute force over all pairs of 1,700 good and 1,600 bad texts."""
+    drawn = np.random.default_rng(8)
+    vocabulary = np.array(["river", "old", "mill", "Road.", "$$", "##", "a|b", "7", "Why?", "no,"])
+    share = {1: np.repeat([0.14, 0.05], [6, 4]), 0: np.repeat([0.08, 0.13], [6, 4])}
+    known = [(i, int(i < 1_700)) for i in range(3_300)]
+    rows = [(i, " ".join(drawn.choice(vocabulary, drawn.integers(5, 40), p=share[x] / share[x].sum()))) for i, x in known]
+    ranker = quality.fit(frame(spark, rows + rows[:9]), labels(spark, known))
+    good, bad = (np.array([quality.features(t) for (_, t), (_, x) in zip(rows, known) if x == y]) for y in (1, 0))
+    both = quality.expanded(np.vstack([good, bad]))
+    assert np.allclose(ranker.mean, both.mean(0)) and np.allclose(ranker.scale, np.maximum(both.std(0), 1e-6))
+    x, y = (np.clip((quality.expanded(z) - ranker.mean) / ranker.scale, -6, 6) for z in (good, bad))
+    wrong = 1 / (1 + np.exp((x @ ranker.weights)[:, None] - y @ ranker.weights))
+    gradient = -(wrong.sum(1) @ x - wrong.sum(0) @ y) / wrong.size + quality.PENALTY * ranker.weights
+    assert np.abs(gradient).max() < 1e-4
+    alone = quality.calibrate(quality.Ranker(ranker.mean, ranker.scale, ranker.weights), good, bad, 1_600 / 3_300)
+    assert abs(ranker.threshold - alone.threshold) < 1e-9 and ranker.slope == alone.slope
+
+
+def test_quantile_of_equal_scores(spark, monkeypatch):
+    """The row at which the weights reach the share, and the next, for every share of a few rows with repeats."""
+    monkeypatch.setattr(quality, "CELLS", 3)
+    made = [(0, -2.0), (1, -2.0), (0, 0.5), (0, 0.5), (1, 0.5), (1, 0.5 + 1e-12), (0, 7.0), (1, 1e9)]
+    scores = spark.createDataFrame(made, "label int, raw double").coalesce(1).cache()
+    weight = {1: 0.2, 0: 0.05}
+    ordered = sorted(made, key=lambda r: (r[1], -r[0]))
+    for share in (0.1, 0.22, 0.3, 0.5, 0.75, 0.99):
+        at = next(i for i in range(8) if sum(weight[c] for c, _ in ordered[: i + 1]) >= share)
+        assert quality.quantile(scores, weight, share) == (ordered[at][1], ordered[min(at + 1, 7)][1])
