@@ -8,7 +8,7 @@ import sentencepiece
 from test_tokens import MODEL, SPECIAL
 from tokenizers import Tokenizer
 
-from showpulse.llm import alignment, token_counts
+from showpulse.llm import alignment, chunks, token_counts
 
 A = public_tokenizers.path("byte_bpe_50k.json")
 COLUMNS = ["n_a", "n_b", "n_groups", "n_links", "groups", "n_best", "count_sum"]
@@ -101,6 +101,53 @@ def test_stretches_give_the_libraries_ids():
             assert list(array("I", ids[1])) == both.b.encode(text), repr(text)
 
 
+class Counted:
+    """B's library, and how often it is asked."""
+
+    def __init__(self, library):
+        self.library, self.calls = library, 0
+
+    def encode(self, text):
+        self.calls += 1
+        return self.library.encode(text)
+
+
+def test_short_stretches_are_encoded_together():
+    both = alignment.Sides(open(A, encoding="utf-8").read(), open(MODEL, "rb").read())
+    chosen = random.Random(3)
+    text = " ".join("".join(chosen.choices("abcdeéinrst", k=9)) for _ in range(2_000))
+    both.b = library = Counted(both.b)
+    ids = both.ids(text)
+    assert library.calls < 100
+    assert list(array("I", ids[0])) == both.a.encode(" " + text, add_special_tokens=False).ids
+    assert list(array("I", ids[1])) == library.library.encode(text)
+    library.calls = 0
+    assert both.ids(text) == ids and library.calls == 0
+
+
+def test_tokens_that_all_start_together():
+    both = alignment.Sides(open(A, encoding="utf-8").read(), open(MODEL, "rb").read())
+    ((n_a, n_b, n_groups, n_links, _, pairs, times),) = alignment.align(both, both.all_ids(["the the"]))
+    assert (n_a, n_b, n_groups, n_links, len(pairs), list(times)) == (2, 2, 2, 2, 1, [2])
+
+
+@pytest.mark.parametrize("memory", [chunks.MEMORY, 30_000])
+def test_texts_encoded_together_have_the_libraries_ids(monkeypatch, memory):
+    monkeypatch.setattr(chunks, "MEMORY", memory)
+    both = alignment.Sides(open(A, encoding="utf-8").read(), open(MODEL, "rb").read())
+    chosen = random.Random(11)
+    for _ in range(40):
+        made = ["".join(chosen.choices("abcd Eé\n.'’1²  \t▁\xa0ßſ", k=chosen.randrange(1, 40))) for _ in range(30)]
+        made += [" ".join(chosen.choices(["the", "\nThe", "\n-", "\n\n-", "end.", "x" * 150, "don't"], k=20)) for _ in range(9)]
+        for text, ids in zip(made, both.all_ids(made), strict=True):
+            a, b = both.a.encode(" " + text, add_special_tokens=False).ids, both.b.encode(text)
+            raw = " ".encode() + text.encode()
+            spelt = [b"".join([of[i] for i in side]) for of, side in ((both.bytes_a, a), (both.bytes_b, b))]
+            assert (ids is None) == (spelt != [raw, raw]), repr(text)
+            if ids is not None:
+                assert [list(array("I", side)) for side in ids] == [a, b], repr(text)
+
+
 def test_long_texts_and_batches(spark):
     long = " ".join(["word", "étranger", "1234", "end.\n"] * 20_000)
     assert list(alignment.batches([None, "a", "", long * 4, "b", "c"])) == [[1], [3], [4, 5]]
