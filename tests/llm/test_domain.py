@@ -1,6 +1,9 @@
+import functools
 import math
+import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from showpulse.llm import domain
@@ -97,3 +100,75 @@ def test_every_good_text_is_in_the_target(spark, tmp_path):
         return sorted((-1 if r[0] is None else r[0], r[1], *(round(x, 9) for x in r[2:])) for r in df.collect())
 
     assert listed(got) == listed(want)
+
+
+def definition(learned, asked):
+    """Words, target loss and background loss of each asked text, by counts of all words and bigrams of the learned rows."""
+    learned = [(domain.words(t), bool(g)) for _, t, g in learned]
+    size = len({w for t, _ in learned for w in t}) + 1
+    losses = []
+    for only in (True, False):
+        some = [t for t, g in learned if g or not only]
+        single, pairs = Counter(w for t in some for w in t), Counter(p for t in some for p in zip(["<"] + t, t))
+        context, taken, n = Counter(), Counter(), sum(single.values())
+        for (a, _), often in pairs.items():
+            context[a] += often
+            taken[a] += often - domain.DISCOUNT
+
+        def loss(a, b, single=single, pairs=pairs, context=context, taken=taken, n=n):
+            backed = (single[b] + domain.ADDED) / (n + domain.ADDED * size)
+            if not context[a]:
+                return -math.log(backed)
+            kept = max(pairs[a, b] - domain.DISCOUNT, 0) / context[a]
+            return -math.log(kept + max(1 - taken[a] / context[a], 1e-9) * backed)
+
+        loss = functools.cache(loss)
+        texts = [domain.words(t) for _, t, _ in asked]
+        losses.append([math.fsum(loss(a, b) for a, b in zip(["<"] + t, t)) / max(len(t), 1) for t in texts])
+    counts = [len(domain.words(t)) for _, t, _ in asked]
+    made = zip((i for i, _, _ in asked), counts, *losses, strict=True)
+    return sorted((i, n, round(t, 8), round(b, 8), round(b - t, 8)) for i, n, t, b in made)
+
+
+def found(df):
+    columns = "doc_id", "n_words", "target_loss", "background_loss", "score"
+    return sorted((*r[:2], *(round(x, 8) for x in r[2:])) for r in df.select(*columns).collect())
+
+
+def framed(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string, target boolean").repartition(3)
+
+
+def test_rare_words_and_pairs_count_in_a_large_table(spark):
+    """Among 800,000 words a word or bigram that occurs once or twice is in the models as well."""
+    rows = [(i, "the cat " * 200_000, False) for i in range(2)]
+    rows += [(2, "the zygote sat", True), (3, "the zygote sat", True)]
+    rows += [(4, "sat quark the", False), (5, "once only here", True)]
+    table = framed(spark, rows)
+    want = definition(rows, rows)
+    assert found(domain.scored_among(table, "text", "target")) == want
+    assert found(domain.scored(table, domain.fit(table, "text", "target"))) == want
+
+
+def test_many_chunks_and_buckets(spark, monkeypatch):
+    """Chunks of some texts, few words a bucket, one bigram in every text and contexts spread over buckets."""
+    for name, value in {"CHUNK": 200, "ROWS": 4, "WORD_BUCKETS": 7, "FEW_BUCKETS": 40, "SMALL_BUCKET": 100}.items():
+        monkeypatch.setattr(domain, name, value)
+    pick = random.Random(5)
+    names = [f"w{i}" for i in range(300)]
+    often = [1 / (i + 1) for i in range(300)]
+    rows = []
+    for i in range(400):
+        text = " ".join(pick.choices(names, often, k=pick.randrange(0, 30))) + (" hot pair hot pair" if i % 9 else "")
+        rows.append((i, text, pick.choice([True, False, None])))
+    rows += [(400, None, True), (401, "...", False), (7, rows[7][1], True), (7, rows[7][1], True)]
+    table = framed(spark, rows)
+    assert found(domain.scored_among(table, "text", "target")) == definition(rows, rows)
+    others = [(i, f"w{i} w1 unseen w2 w{i} hot hot", None) for i in range(60)]
+    got = domain.scored(framed(spark, others), domain.fit(table, "text", "target"))
+    assert found(got) == definition(rows, others)
+
+
+def test_packed_arrays():
+    arrays = [np.array(x, np.int64) for x in ([], [0, 0], [1, 255], [256, 0, 2**40], [2**62])]
+    assert [a.tolist() for a in domain._unpacked(domain._packed(*arrays))] == [a.tolist() for a in arrays]
